@@ -14,7 +14,7 @@ from strandlake.functions.kmers import BASES
 
 # The packed record is low 64 bits, high bits, uint16 count, little-endian.
 RECORD = struct.Struct("<QQH")
-COUNT_MASK = 0xFFFF
+RECORD_BYTES, COUNT_MASK = 18, 0xFFFF
 
 
 def read_tsv(spark: SparkSession, path: str, accession: str | None = None) -> DataFrame:
@@ -61,7 +61,7 @@ def read_packed(spark: SparkSession, path: str, k: int) -> DataFrame:
         kind = np.dtype([("low", "<u8"), ("high", "<u8"), ("cnt", "<u2")])
         for batch in batches:
             for name, content in zip(batch.column("path").to_pylist(), batch.column("content").to_pylist(), strict=True):
-                if len(content) % RECORD.size:
+                if len(content) % RECORD_BYTES:
                     raise ValueError(f"{name} ends within a record")
                 rows = np.frombuffer(content, kind)
                 shifts = np.arange(k - 1, -1, -1)
