@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 #: Bits of one word of the lower bitmap level.
 WORD_BITS = 256
 #: Encoded pre-tokens a worker remembers; the memory is emptied when it is full.
-MEMORY = 300_000
+MEMORY = 1_500_000
 #: Longer pre-tokens are not remembered.
 MEMORY_LENGTH = 64
 
@@ -73,8 +73,8 @@ def merge(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
     if whole is not None:
         return [whole]
     n = len(piece)
-    after = list(range(1, n + 1))  # start of the part that follows the part at i; also where part i ends
-    before = list(range(-1, n - 1))
+    after = [*range(1, n + 1)]  # start of the part that follows the part at i; also where part i ends
+    before = [*range(-1, n - 1)]
     pair = [-1] * n  # rank of part i joined with its follower
     queue = RankQueue()
     get, push, pop = ranks.get, queue.push, queue.pop
