@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strandlake.llm import bpe, chat, langid, media
+from strandlake.llm import bpe, chat, langid, media, sadedup
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -75,3 +75,8 @@ def op5_chat(spark, sf_dir):
     rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     probe = spark.createDataFrame([(-7, 0, "user", PROBE), (-7, 1, "assistant", PROBE)], rows.schema)
     return chat.read_back(chat.format_conversations(rows.unionByName(probe)))
+
+
+@query("op10_sadedup")
+def op10_sadedup(spark, sf_dir):
+    return sadedup.remove_repeats(table(spark, sf_dir, "documents"), digest=True).withColumnRenamed("kept", "kept_sha256")
