@@ -26,6 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from strandlake.llm.chars import mix
+from strandlake.llm.settle import settle
 from strandlake.llm.suffixes import deep_shallow, lcp, nodes
 
 #: Bytes of the repeated strings, and of an anchor.
@@ -118,7 +119,7 @@ def _fetch(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.Record
 
     rows = []
     for b in batches:
-        for k1, k2, data, wanted in zip(*(c.to_pylist() for c in b.columns), strict=True):
+        for k1, k2, data, wanted in zip(*(c.to_pylist() for c in b.columns[1:]), strict=True):
             for w in wanted:
                 at = w["pos"]
                 a, z = contexts(data, 0, len(data), at, length)
@@ -243,8 +244,12 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     text = F.coalesce(F.col(text_col), F.lit(""))
     rows = docs.select(F.col(id_col).alias("id"), F.encode(text, "UTF-8").alias("data"), F.xxhash64(F.col(id_col), text).alias("k1"), F.xxhash64(text, F.lit("strandlake"), F.col(id_col)).alias("k2"))
     anchors = rows.select("k1", "k2", "data").mapInArrow(partial(_anchors, length=length), "anchor bigint, ctx bigint, k1 bigint, k2 bigint, pos int")
+    anchors = settle(anchors, "anchors")
+    # Most anchors occur once; from here on only the others count.
+    often = anchors.groupBy("anchor").agg(F.count(F.lit(1)).alias("total")).where("total > 1").select("anchor")
+    anchors = settle(anchors.join(often, "anchor"), "repeated-anchors")
     kinds = anchors.groupBy("anchor", "ctx").agg(F.count(F.lit(1)).alias("n"), F.first("k1").alias("k1"), F.first("k2").alias("k2"), F.first("pos").alias("pos"))
-    groups = kinds.groupBy("anchor").agg(F.sum("n").alias("total"), F.count(F.lit(1)).alias("kinds"), F.max(F.col("n") == 1).alias("mixed")).where("total > 1")
+    groups = kinds.groupBy("anchor").agg(F.count(F.lit(1)).alias("kinds"), F.max(F.col("n") == 1).alias("mixed"))
     known = kinds.join(groups, "anchor")
     # Contexts that occur twice: every string in them is repeated.
     whole = anchors.join(known.where("n > 1").select("anchor", "ctx"), ["anchor", "ctx"]).select("k1", "k2", (F.col("pos") - (length - ANCHOR)).alias("lo"), F.col("pos").alias("hi"))
@@ -252,7 +257,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     def fetched(some: Column):
         """Contexts of the anchors that `some` holds for, out of their documents."""
         wanted = known.where(some).groupBy("k1", "k2").agg(F.collect_list(F.struct("anchor", (F.col("n") == 1).alias("single"), "pos")).alias("wanted"))
-        return rows.join(wanted, ["k1", "k2"]).select("k1", "k2", "data", "wanted").mapInArrow(partial(_fetch, length=length), "anchor bigint, single boolean, k1 bigint, k2 bigint, pos int, left binary, right binary")
+        return rows.join(wanted, ["k1", "k2"]).select("id", "k1", "k2", "data", "wanted").mapInArrow(partial(_fetch, length=length), "anchor bigint, single boolean, k1 bigint, k2 bigint, pos int, left binary, right binary")
 
     # Contexts that occur once beside others of the same anchor.
     mixed = F.col("mixed") & (F.col("kinds") > 1)
