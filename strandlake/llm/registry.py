@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strandlake.llm import bpe, chat, langid, media, sadedup
+from strandlake.llm import bpe, chat, decontam, jaccard, langid, media, sadedup
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -80,3 +80,13 @@ def op5_chat(spark, sf_dir):
 @query("op10_sadedup")
 def op10_sadedup(spark, sf_dir):
     return sadedup.remove_repeats(table(spark, sf_dir, "documents"), digest=True).withColumnRenamed("kept", "kept_sha256")
+
+
+@query("op8_jaccard")
+def op8_jaccard(spark, sf_dir):
+    return jaccard.jaccard_join(table(spark, sf_dir, "documents"))
+
+
+@query("op7_decontam")
+def op7_decontam(spark, sf_dir):
+    return decontam.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
