@@ -25,6 +25,8 @@ RETRIEVE = 0.5
 SHINGLE, QUESTION, ANSWER = 5, 0.8, 0.5
 #: Items and characters of one index, which is sent to every task. A larger benchmark is searched in several passes.
 MAX_ITEMS, MAX_CHARS = 50_000, 32_000_000
+#: Item ranges for which the bound of a passage is kept apart.
+RANGES = 64
 #: Slots of the table that tells most words outside the vocabulary at once.
 SLOTS = 1 << 20
 SENTENCE = re.compile(r"(?<=[.?!])\s+")
@@ -77,6 +79,11 @@ class Index:
         self.postings = [([i for i, _ in postings[t]], [w for _, w in postings[t]]) for t in self.terms.tolist()]
         self.maxima = [[max(w[k : k + BLOCK]) for k in range(0, len(w), BLOCK)] for _, w in self.postings]
         self.most = np.array([max(m) for m in self.maxima])
+        # Largest impact of each term within each range of items: block maxima with blocks aligned across terms.
+        width = max(1, -(-n // RANGES))
+        self.ranged = np.zeros((len(self.terms), -(-n // width)), np.float32)
+        for t, (ids, weights) in enumerate(self.postings):
+            np.maximum.at(self.ranged[t], np.array(ids) // width, weights)
         self.slots = np.zeros(SLOTS, bool)
         self.slots[(self.terms & np.uint64(SLOTS - 1)).astype(np.int64)] = True
 
@@ -148,16 +155,36 @@ class Index:
         if not len(self.terms):
             return found
         number = self.lookup(words.hashes)
-        weight = np.where(number >= 0, self.most[number], 0.0)
-        total = np.concatenate([[0.0], np.cumsum(weight)])
         counts = np.diff(words.bounds)
         windows = np.maximum(1, -(-(counts - WINDOW) // STEP) + 1) * (counts > 0)
         text = np.repeat(np.arange(len(counts)), windows)
         nth = np.arange(len(text)) - np.repeat(np.cumsum(windows) - windows, windows)
         first = words.bounds[:-1][text] + nth * STEP
+        middle = np.minimum(first + STEP, words.bounds[1:][text])
         last = np.minimum(first + WINDOW, words.bounds[1:][text])
-        # No passage whose words' largest impacts fall short can retrieve anything.
-        for k in np.flatnonzero(total[last] - total[first] >= RETRIEVE - 1e-9).tolist():
+        # A term counts once in a passage. A word lies in the first half of one and the second half of the one before;
+        # it is new there if its last occurrence lies before that passage.
+        known = np.flatnonzero(number >= 0)
+        order = known[np.argsort(number[known], kind="stable")]
+        previous = np.full(len(number), -1)
+        same = number[order[1:]] == number[order[:-1]]
+        previous[order[1:][same]] = order[:-1][same]
+        start = np.repeat(words.bounds[:-1], counts)[known]
+        half = known - (known - start) % STEP
+        bounds = []
+        for since, begin, end in ((half, first, middle), (np.maximum(half - STEP, start), middle, last)):
+            new = known[previous[known] < since]
+            sums = np.zeros((len(new) + 1, self.ranged.shape[1]), np.float32)
+            edges = np.searchsorted(new, np.stack([begin, end]))
+            full = edges[0] < edges[1]
+            part = np.zeros((len(text), self.ranged.shape[1]), np.float32)
+            if full.any():
+                sums[:-1] = self.ranged[number[new]]
+                part[full] = np.add.reduceat(sums, edges[:, full].T.ravel())[::2]
+            bounds.append(part)
+        bound = (bounds[0] + bounds[1]).max(1)
+        # A passage that falls short in every range of items cannot retrieve anything.
+        for k in np.flatnonzero(bound >= RETRIEVE - 1e-4).tolist():
             terms = np.unique(number[first[k] : last[k]])
             terms = terms[terms >= 0]
             if self.most[terms].sum() < RETRIEVE:
