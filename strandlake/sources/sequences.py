@@ -17,6 +17,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
+from strandlake.session import ship
+
 # gzip's first bytes, and the suffixes tried for a mate in this order.
 GZIP_MAGIC = b"\x1f\x8b"
 MATE_SUFFIXES = (".fq", ".fastq", ".fq.gz", ".fastq.gz")
@@ -203,6 +205,7 @@ class FastaSource(DataSource):
 
 
 def register(spark: SparkSession) -> None:
+    ship(spark)
     spark.dataSource.register(FastqSource)
     spark.dataSource.register(FastaSource)
 
