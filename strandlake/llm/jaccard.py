@@ -109,7 +109,7 @@ def _records(batches: Iterator[pa.RecordBatch], n: int, roots: int) -> Iterator[
                 fps.append(fingerprint(sets[i] if j is not None else None, text))
                 sizes.append(len(sets[i]))
                 keys.append(values[j, :roots].view(np.int64) if j is not None else None)
-                sketches.append((values[j, roots:] >> np.uint64(56)).astype(np.uint8).tobytes() if j is not None else None)
+                sketches.append(values[j, roots:].astype(np.uint8).tobytes() if j is not None else None)
         yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(fps, pa.binary()), pa.array(sizes, pa.int32()), pa.array(keys, pa.list_(pa.int64())), pa.array(sketches, pa.binary())], ["k1", "k2", "fp", "size", "keys", "sketch"])
 
 
