@@ -147,3 +147,19 @@ def identify(docs: DataFrame, profiles: list[tuple[str, list[int]]], id_col: str
     kind = docs.schema[id_col].dataType.simpleString()
     run = partial(_predict, profiles=profiles, size=size)
     return docs.select(id_col, text_col).mapInArrow(run, f"id {kind}, lang_pred string, score double").withColumnRenamed("id", id_col)
+
+
+def _identify_rows(batches: Iterator[pa.RecordBatch], profiles: list, size: int, text_col: str, lang_col: str) -> Iterator[pa.RecordBatch]:
+    model = Model(profiles, size)
+    for batch in batches:
+        names = []
+        for _, texts in blocks([t or "" for t in batch.column(batch.schema.names.index(text_col)).to_pylist()]):
+            found = grams(texts)
+            names += [model.predict(np.concatenate([k[b[i] : b[i + 1]] for k, b in found]))[0] for i in range(len(texts))]
+        place = batch.schema.names.index(lang_col)
+        yield batch.set_column(place, lang_col, pa.array(names, pa.string()))
+
+
+def identify_rows(docs: DataFrame, profiles: list[tuple[str, list[int]]], lang_col: str, text_col: str = "text", size: int = PROFILE) -> DataFrame:
+    """docs with its string column lang_col replaced by the identified language, all other columns as they are."""
+    return docs.mapInArrow(partial(_identify_rows, profiles=profiles, size=size, text_col=text_col, lang_col=lang_col), docs.schema)

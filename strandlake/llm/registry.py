@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strandlake.llm import bpe, chat, decontam, jaccard, langid, media, sadedup
+from strandlake.llm import bpe, chat, decontam, jaccard, langid, licenses, lmscore, media, quality, sadedup
 from strandlake.session import ship
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -92,3 +92,20 @@ def op8_jaccard(spark, sf_dir):
 @query("op7_decontam")
 def op7_decontam(spark, sf_dir):
     return decontam.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query("op3_lmscore")
+def op3_lmscore(spark, sf_dir):
+    return lmscore.score(table(spark, sf_dir, "documents"))
+
+
+@query("op6_quality")
+def op6_quality(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    model = quality.learn(docs, table(spark, sf_dir, "labels").where(~held_out(5, 0)))
+    return quality.score(docs, model).select("doc_id", held_out(5, 0).alias("held_out"), "score", "predicted")
+
+
+@query("op9_licenses")
+def op9_licenses(spark, sf_dir):
+    return licenses.scan(table(spark, sf_dir, "documents"))

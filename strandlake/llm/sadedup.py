@@ -225,6 +225,28 @@ def _cut(batches: Iterator[pa.RecordBatch], length: int, digest: bool) -> Iterat
         yield pa.RecordBatch.from_arrays([b.column(0), *(pa.array(c, k) for c, k in zip(cols, kinds, strict=True))], ["id", "n_bytes", "n_removed", "n_spans", "kept"])
 
 
+def cut_rows(docs: DataFrame, text_col: str = "text", chars_col: str = "n_chars", length: int = LENGTH) -> DataFrame:
+    """docs with repeated strings cut out of its texts (see remove_repeats) and the length column set anew; all rows stay.
+
+    A character of which only some bytes remain goes too. A null text stays null.
+    """
+    others = [c for c in docs.columns if c != text_col]
+    row = F.struct(F.struct(*others).alias("rest"), F.col(text_col).isNull().alias("none"))
+    out = remove_repeats(docs.select(row.alias("row"), text_col), "row", text_col, length)
+    kept = F.when(~F.col("row.none"), F.col("kept"))
+    named = out.select("row.rest.*", kept.alias(text_col)).mapInArrow(partial(_decode, text_col=text_col), docs.select(*others, text_col).schema)
+    if chars_col in docs.columns:
+        named = named.withColumn(chars_col, F.length(text_col).cast(docs.schema[chars_col].dataType))
+    return named.select(docs.columns)
+
+
+def _decode(batches: Iterator[pa.RecordBatch], text_col: str) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        place = batch.schema.names.index(text_col)
+        texts = [None if b is None else b.decode("utf-8", "ignore") for b in batch.column(place).to_pylist()]
+        yield batch.set_column(place, text_col, pa.array(texts, pa.string()))
+
+
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH, digest: bool = False, group: int = GROUP) -> DataFrame:
     """(id_col, n_bytes, n_removed, n_spans, kept): each text's UTF-8 bytes without every byte that a string of
     `length` bytes covers which also starts elsewhere, in the same text or another; kept as bytes, or with digest as
