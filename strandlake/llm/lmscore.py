@@ -23,6 +23,8 @@ from strandlake.llm.chars import Words
 
 #: Longest n-gram and the factor of a step back.
 ORDER, BACKOFF = 3, 0.4
+#: Bits of an n-gram's hash: among 10^13 different n-grams about one in 7000 shares its hash with another.
+HASH_BITS = 56
 #: Characters of a block of documents.
 BLOCK_CHARS = 4_000_000
 
@@ -51,9 +53,14 @@ def texts_of(packed: list[bytes]) -> list[str]:
     return [unpack.decompress(p).decode("utf-8", "surrogatepass") for p in packed]
 
 
+def hashed(words: Words, n: int) -> tuple[np.ndarray, np.ndarray]:
+    grams, bounds = words.ngrams(n)
+    return grams >> np.uint64(64 - HASH_BITS), bounds
+
+
 def edges(parts: int) -> np.ndarray:
     """First hash of each partition but the first."""
-    return np.array([(i << 64) // parts for i in range(1, parts)], np.uint64)
+    return np.array([(i << HASH_BITS) // parts for i in range(1, parts)], np.uint64)
 
 
 def _ask(table: pa.Table, order: int, parts: int) -> pa.Table:
@@ -62,7 +69,7 @@ def _ask(table: pa.Table, order: int, parts: int) -> pa.Table:
     words, pack = Words(texts_of(table.column("packed").to_pylist())), zstandard.ZstdCompressor(1)
     rows = []
     for n in range(1, order + 1):
-        values, counts = np.unique(words.ngrams(n)[0], return_counts=True)
+        values, counts = np.unique(hashed(words, n)[0], return_counts=True)
         cuts = [0, *np.searchsorted(values, edges(parts)).tolist(), len(values)]
         for p, (a, b) in enumerate(zip(cuts, cuts[1:], strict=False)):
             if a < b:
@@ -95,7 +102,7 @@ def score_texts(texts: list[str], totals: list[np.ndarray], tokens: int) -> list
     at = np.arange(len(doc)) - np.repeat(words.bounds[:-1], sizes)  # place of a word in its text
     counts = []  # by n: at each word, the count of the n-gram that ends there, without this text's own
     for n in range(1, order + 1):
-        grams, bounds = words.ngrams(n)
+        grams, bounds = hashed(words, n)
         owner = np.repeat(np.arange(len(texts)), np.diff(bounds))
         distinct, place = np.unique(grams, return_inverse=True)
         pairs, where, own = np.unique(owner * (len(distinct) + 1) + place, return_inverse=True, return_counts=True)
