@@ -21,8 +21,8 @@ from pyspark.sql import DataFrame
 
 #: Bits of one word of the lower bitmap level.
 WORD_BITS = 256
-#: Encoded pre-tokens a worker remembers; the memory is emptied when it is full.
-MEMORY = 1_500_000
+#: Encoded pre-tokens a task remembers; the memory is emptied when it is full and when the task ends.
+MEMORY = 500_000
 #: Longer pre-tokens are not remembered.
 MEMORY_LENGTH = 64
 
@@ -164,6 +164,7 @@ def _encode(batches: Iterator[pa.RecordBatch], path: str, pattern: str, digest:
                 decoded.append(back)
         kind = (pa.string(), pa.string()) if digest else (pa.list_(pa.int32()), pa.binary())
         yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(counts, pa.int64()), pa.array(ids, kind[0]), pa.array(decoded, kind[1])], ["id", "n_tokens", "ids", "decoded"])
+    c.clear()
 
 
 def encode(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text", digest: bool = False) -> DataFrame:
