@@ -19,51 +19,68 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
-#: Bits of one word of the lower bitmap level.
-WORD_BITS = 256
-#: Encoded pre-tokens a task remembers; the memory is emptied when it is full and when the task ends.
-MEMORY = 500_000
+#: Bits of one word of the lower bitmap level, as a shift, its mask and its single bits.
+WORD_SHIFT = 8
+WORD_MASK = (1 << WORD_SHIFT) - 1
+BITS = [1 << i for i in range(1 << WORD_SHIFT)]
+#: Encoded pre-tokens a worker remembers (about 100 MB); the memory is emptied when it is full.
+MEMORY = 450_000
 #: Longer pre-tokens are not remembered.
 MEMORY_LENGTH = 64
 
 
 class RankQueue:
-    """Buckets of positions by rank; `pop` gives the lowest rank's leftmost position."""
+    """Buckets of positions by rank; `pop` gives the lowest rank's leftmost position.
+
+    A bucket of one position is that integer, a larger one a heap.
+    """
 
     __slots__ = ("buckets", "summary", "words")
 
     def __init__(self):
-        self.buckets: dict[int, list[int]] = {}
+        self.buckets: dict[int, int | list[int]] = {}
         self.words: dict[int, int] = {}
         self.summary = 0
 
     def push(self, rank: int, position: int) -> None:
-        bucket = self.buckets.get(rank)
-        if bucket is None:
-            self.buckets[rank] = [position]
-            high = rank // WORD_BITS
-            self.words[high] = self.words.get(high, 0) | 1 << rank % WORD_BITS
-            self.summary |= 1 << high
+        buckets = self.buckets
+        if rank in buckets:
+            bucket = buckets[rank]
+            if type(bucket) is int:
+                buckets[rank] = [bucket, position] if bucket <= position else [position, bucket]
+            else:
+                heappush(bucket, position)
+            return
+        buckets[rank] = position
+        high = rank >> WORD_SHIFT
+        words = self.words
+        if high in words:
+            words[high] |= BITS[rank & WORD_MASK]
         else:
-            heappush(bucket, position)
+            words[high] = BITS[rank & WORD_MASK]
+            self.summary |= 1 << high
 
     def pop(self) -> tuple[int, int] | None:
-        if not self.summary:
+        summary = self.summary
+        if not summary:
             return None
-        high = (self.summary & -self.summary).bit_length() - 1
+        high = (summary & -summary).bit_length() - 1
         word = self.words[high]
-        low = (word & -word).bit_length() - 1
-        rank = high * WORD_BITS + low
+        rank = (high << WORD_SHIFT) + (word & -word).bit_length() - 1
         bucket = self.buckets[rank]
-        position = heappop(bucket)
-        if not bucket:
-            del self.buckets[rank]
-            word &= word - 1
-            if word:
-                self.words[high] = word
-            else:
-                del self.words[high]
-                self.summary &= self.summary - 1
+        if type(bucket) is int:
+            position = bucket
+        else:
+            position = heappop(bucket)
+            if bucket:
+                return rank, position
+        del self.buckets[rank]
+        word &= word - 1
+        if word:
+            self.words[high] = word
+        else:
+            del self.words[high]
+            self.summary = summary & (summary - 1)
         return rank, position
 
 
@@ -83,8 +100,8 @@ def merge(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
         if r is not None:
             pair[i] = r
             push(r, i)
-    while (top := pop()) is not None:
-        rank, i = top
+    while queue.summary:
+        rank, i = pop()
         if pair[i] != rank:
             continue  # stale
         j = after[i]
@@ -164,7 +181,6 @@ def _encode(batches: Iterator[pa.RecordBatch], path: str, pattern: str, digest:
                 decoded.append(back)
         kind = (pa.string(), pa.string()) if digest else (pa.list_(pa.int32()), pa.binary())
         yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(counts, pa.int64()), pa.array(ids, kind[0]), pa.array(decoded, kind[1])], ["id", "n_tokens", "ids", "decoded"])
-    c.clear()
 
 
 def encode(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text", digest: bool = False) -> DataFrame:

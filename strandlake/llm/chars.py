@@ -12,7 +12,7 @@ from functools import lru_cache
 import numpy as np
 
 #: Code points handled at once; a longer single text is still handled whole.
-BLOCK_CHARS = 1_000_000
+BLOCK_CHARS = 500_000
 #: Odd multiplier of the polynomial word hash modulo 2^64.
 MULTIPLIER = 0x9E3779B97F4A7C15 | 1
 INVERSE = pow(MULTIPLIER, -1, 1 << 64)
