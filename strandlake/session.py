@@ -8,9 +8,15 @@ import zipfile
 
 from pyspark.sql import SparkSession
 
+#: Rows of an Arrow batch, where the session has Spark's default: rows hold whole documents here.
+BATCH_ROWS, DEFAULT_ROWS = "1000", "10000"
+BATCH_SETTING = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
 
 def ship(spark: SparkSession) -> None:
-    """Sends this package's modules to the executors once a session, for tasks that run Python."""
+    """Sends this package's modules to the executors once a session, for tasks that run Python, and bounds their batches."""
+    if spark.conf.get(BATCH_SETTING, DEFAULT_ROWS) == DEFAULT_ROWS:
+        spark.conf.set(BATCH_SETTING, BATCH_ROWS)
     context = spark.sparkContext
     if getattr(context, "_strandlake_shipped", False):
         return
