@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 WORD_SHIFT = 8
 WORD_MASK = (1 << WORD_SHIFT) - 1
 BITS = [1 << i for i in range(1 << WORD_SHIFT)]
-#: Encoded pre-tokens a worker remembers (about 100 MB); the memory is emptied when it is full.
+#: Encoded pre-tokens a task remembers (about 100 MB); the memory is emptied when it is full and when the task ends.
 MEMORY = 450_000
 #: Longer pre-tokens are not remembered.
 MEMORY_LENGTH = 64
@@ -167,20 +167,23 @@ def codec(path: str, pattern: str) -> Codec:
 
 def _encode(batches: Iterator[pa.RecordBatch], path: str, pattern: str, digest: bool) -> Iterator[pa.RecordBatch]:
     c = codec(path, pattern)
-    for batch in batches:
-        counts, ids, decoded = [], [], []
-        for text in batch.column(1).to_pylist():
-            packed = c.encode(text or "")
-            back = c.decode(packed)
-            counts.append(len(packed) // 4)
-            if digest:
-                ids.append(hashlib.sha256(packed).hexdigest())
-                decoded.append(hashlib.sha256(back).hexdigest())
-            else:
-                ids.append(np.frombuffer(packed, "<u4").astype("i4"))
-                decoded.append(back)
-        kind = (pa.string(), pa.string()) if digest else (pa.list_(pa.int32()), pa.binary())
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(counts, pa.int64()), pa.array(ids, kind[0]), pa.array(decoded, kind[1])], ["id", "n_tokens", "ids", "decoded"])
+    kind = (pa.string(), pa.string()) if digest else (pa.list_(pa.int32()), pa.binary())
+    try:
+        for batch in batches:
+            counts, ids, decoded = [], [], []
+            for text in batch.column(1).to_pylist():
+                packed = c.encode(text or "")
+                back = c.decode(packed)
+                counts.append(len(packed) // 4)
+                if digest:
+                    ids.append(hashlib.sha256(packed).hexdigest())
+                    decoded.append(hashlib.sha256(back).hexdigest())
+                else:
+                    ids.append(np.frombuffer(packed, "<u4").astype("i4"))
+                    decoded.append(back)
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(counts, pa.int64()), pa.array(ids, kind[0]), pa.array(decoded, kind[1])], ["id", "n_tokens", "ids", "decoded"])
+    finally:
+        c.clear()  # workers outlive tasks
 
 
 def encode(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text", digest: bool = False) -> DataFrame:
