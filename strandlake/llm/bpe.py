@@ -10,9 +10,11 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import uuid
 from collections.abc import Iterator
 from functools import lru_cache, partial
 from heapq import heappop, heappush
+from struct import pack
 
 import numpy as np
 import pyarrow as pa
@@ -23,8 +25,9 @@ from pyspark.sql import DataFrame
 WORD_SHIFT = 8
 WORD_MASK = (1 << WORD_SHIFT) - 1
 BITS = [1 << i for i in range(1 << WORD_SHIFT)]
-#: Encoded pre-tokens a task remembers (about 100 MB); the memory is emptied when it is full and when the task ends.
-MEMORY = 450_000
+#: Encoded pre-tokens of one generation of a worker's memory (two of them take about 100 MB). A full generation becomes the
+#: older one, from which what is met again is taken over; both are emptied when another run begins.
+MEMORY = 225_000
 #: Longer pre-tokens are not remembered.
 MEMORY_LENGTH = 64
 
@@ -133,7 +136,10 @@ def merge(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
 
 
 class Codec(dict):
-    """Encoder and decoder of one rank file and split pattern; the dict maps pre-tokens to packed ids."""
+    """Encoder and decoder of one rank file and split pattern; the dict maps pre-tokens to packed ids.
+
+    It and `older` are the memory of the run named `run`; nothing is remembered from one run to another.
+    """
 
     def __init__(self, path: str, pattern: str):
         super().__init__()
@@ -143,11 +149,23 @@ class Codec(dict):
         for token, rank in self.ranks.items():
             self.table[rank] = token
         self.split = regex.compile(pattern)
+        self.older: dict[str, bytes] = {}
+        self.run = ""
+
+    def begin(self, run: str) -> None:
+        """Empties the memory if it is another run's."""
+        if self.run != run:
+            self.clear()
+            self.older, self.run = {}, run
 
     def __missing__(self, piece: str) -> bytes:
-        ids = np.array(merge(piece.encode(), self.ranks), "<u4").tobytes()
+        ids = self.older.get(piece)
+        if ids is None:
+            found = merge(piece.encode(), self.ranks)
+            ids = pack(f"<{len(found)}I", *found)
         if len(piece) <= MEMORY_LENGTH:
             if len(self) >= MEMORY:
+                self.older = self.copy()
                 self.clear()
             self[piece] = ids
         return ids
@@ -165,25 +183,23 @@ def codec(path: str, pattern: str) -> Codec:
     return Codec(path, pattern)
 
 
-def _encode(batches: Iterator[pa.RecordBatch], path: str, pattern: str, digest: bool) -> Iterator[pa.RecordBatch]:
+def _encode(batches: Iterator[pa.RecordBatch], path: str, pattern: str, digest: bool, run: str) -> Iterator[pa.RecordBatch]:
     c = codec(path, pattern)
+    c.begin(run)
     kind = (pa.string(), pa.string()) if digest else (pa.list_(pa.int32()), pa.binary())
-    try:
-        for batch in batches:
-            counts, ids, decoded = [], [], []
-            for text in batch.column(1).to_pylist():
-                packed = c.encode(text or "")
-                back = c.decode(packed)
-                counts.append(len(packed) // 4)
-                if digest:
-                    ids.append(hashlib.sha256(packed).hexdigest())
-                    decoded.append(hashlib.sha256(back).hexdigest())
-                else:
-                    ids.append(np.frombuffer(packed, "<u4").astype("i4"))
-                    decoded.append(back)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(counts, pa.int64()), pa.array(ids, kind[0]), pa.array(decoded, kind[1])], ["id", "n_tokens", "ids", "decoded"])
-    finally:
-        c.clear()  # workers outlive tasks
+    for batch in batches:
+        counts, ids, decoded = [], [], []
+        for text in batch.column(1).to_pylist():
+            packed = c.encode(text or "")
+            back = c.decode(packed)
+            counts.append(len(packed) // 4)
+            if digest:
+                ids.append(hashlib.sha256(packed).hexdigest())
+                decoded.append(hashlib.sha256(back).hexdigest())
+            else:
+                ids.append(np.frombuffer(packed, "<u4").astype("i4"))
+                decoded.append(back)
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(counts, pa.int64()), pa.array(ids, kind[0]), pa.array(decoded, kind[1])], ["id", "n_tokens", "ids", "decoded"])
 
 
 def encode(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text", digest: bool = False) -> DataFrame:
@@ -196,5 +212,5 @@ def encode(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", tex
     """
     id_type = docs.schema[id_col].dataType.simpleString()
     schema = f"id {id_type}, n_tokens bigint, ids {'string' if digest else 'array<int>'}, decoded {'string' if digest else 'binary'}"
-    out = docs.select(id_col, text_col).mapInArrow(partial(_encode, path=path, pattern=pattern, digest=digest), schema)
+    out = docs.select(id_col, text_col).mapInArrow(partial(_encode, path=path, pattern=pattern, digest=digest, run=uuid.uuid4().hex), schema)
     return out.withColumnRenamed("id", id_col)

@@ -56,6 +56,20 @@ def test_rank_queue_orders_by_rank_then_position():
     assert q.pop() is None
 
 
+def test_bpe_memory(monkeypatch):
+    """A small memory changes no ids; another run finds it empty."""
+    monkeypatch.setattr(bpe, "MEMORY", 3)
+    small, text = bpe.Codec(PATH, P.PATTERN), " alpha betaqz gammaqz deltaqz alpha betaqz epsilonqz gammaqz alpha"
+    small.begin("one")
+    assert small.decode(small.encode(text * 3)) == (text * 3).encode()
+    assert small.encode(text) == b"".join(bpe.pack("<I", i) for p in small.split.findall(text) for i in bpe.merge(p.encode(), small.ranks))
+    assert len(small) <= 3 and len(small.older) == 3
+    small.begin("one")
+    assert small.older
+    small.begin("two")
+    assert not small and not small.older
+
+
 def test_bpe_frame(odd, none, codecs):
     out = bpe.encode(odd, PATH, P.PATTERN).collect()
     assert len(out) == odd.count() and bpe.encode(none, PATH, P.PATTERN).count() == 0
