@@ -56,6 +56,26 @@ def test_rank_queue_orders_by_rank_then_position():
     assert q.pop() is None
 
 
+def least_rank_first(piece, ranks):
+    parts = [piece[i : i + 1] for i in range(len(piece))]
+    while found := [(ranks[a + b], i) for i, (a, b) in enumerate(zip(parts, parts[1:])) if a + b in ranks]:
+        i = min(found)[1]
+        parts[i : i + 2] = [parts[i] + parts[i + 1]]
+    return [ranks[p] for p in parts]
+
+
+@pytest.mark.parametrize("seed", range(20))
+def test_bpe_together_and_any_order_of_ranks(seed):
+    """Many pre-tokens at once, with ranks in which a longer token can come before its parts."""
+    rng = random.Random(seed)
+    tokens = {"".join(rng.choices("abc", k=rng.randint(2, 6))).encode() for _ in range(120)}
+    order = [*tokens]
+    rng.shuffle(order)
+    ranks = {t: 1000 + i for i, t in enumerate(order)} | {bytes((b,)): b for b in range(256)}
+    pieces = ["".join(rng.choices("abcd", k=rng.randint(0, 30))).encode() for _ in range(60)]
+    assert bpe.merge_all(pieces, ranks) == [[ranks[p]] if p in ranks else least_rank_first(p, ranks) for p in pieces]
+
+
 def test_bpe_memory(monkeypatch):
     """A small memory changes no ids; another run finds it empty."""
     monkeypatch.setattr(bpe, "MEMORY", 3)
