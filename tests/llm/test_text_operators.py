@@ -201,6 +201,24 @@ def test_licences(spark, odd, none):
     assert licenses.scan(odd).where("n_licenses = 0").count() == odd.count() and licenses.scan(none).count() == 0
 
 
+def test_licence_headers_and_whole_texts(spark):
+    """Every header and whole text is its own licence, not a neighbour's, with words left out too."""
+    header = "This {} is free software; you can redistribute it and/or modify it under the terms of the GNU {} Public License as published by the Free Software Foundation; either version {} of the License, or (at your option) any later version."
+    families = {"GPL-2.0": ("General", "2"), "GPL-3.0": ("General", "3"), "LGPL-2.1": ("Lesser General", "2.1"), "LGPL-3.0": ("Lesser General", "3"), "AGPL-3.0": ("Affero General", "3")}
+    cases = [(name, f"/* {header.format(what, *f)} */") for name, f in families.items() for what in ("program", "library", "tool")]
+    for path in sorted(licenses.TEXTS.glob("*.txt")):
+        words = path.read_text("utf-8").split()
+        name = path.stem.split("_")[0]
+        cases += [(name, " ".join(words)), (name, "Before it. " + " ".join(w for i, w in enumerate(words) if i % 40) + " After it.")]
+    assert {"Apache-2.0", "MIT", "BSD", "ISC", "GPL-2.0", "GPL-3.0", "LGPL-2.1", "LGPL-3.0", "AGPL-3.0", "MPL-2.0", "CC-BY-4.0", "CC-BY-SA-4.0", "CC-BY-NC-4.0", "CC0-1.0", "Unlicense"} <= {n for n, _ in cases}
+    df = spark.createDataFrame([(i, t) for i, (_, t) in enumerate(cases)], "doc_id long, text string")
+    got = {r.doc_id: r for r in licenses.scan(df).collect()}
+    assert [got[i].licenses for i in range(len(cases))] == [n for n, _ in cases]
+    apache = (licenses.TEXTS / "Apache-2.0.txt").read_text("utf-8").split("APPENDIX")[0]
+    part = licenses.scan(spark.createDataFrame([(1, apache + "Other words. " * 300)], "doc_id long, text string")).first()
+    assert part.licenses == "Apache-2.0" and part.best_dice > 0.95
+
+
 def brute_scores(texts, order):
     docs = [WORD.findall((t or "").lower()) for t in texts]
     grams = lambda d: Counter(tuple(d[i : i + n]) for n in range(1, order + 1) for i in range(len(d) - n + 1))
