@@ -21,7 +21,8 @@ WINDOW, STEP = 96, 48
 K1, B, BLOCK = 1.2, 0.75, 32
 #: Share of an item's own BM25 score from which it is retrieved.
 RETRIEVE = 0.5
-#: Words of a shingle, and shares of the question's and the answer's shingles that make a leak.
+#: Words of a shingle, and shares of the question's and the answer's shingles that make a leak; so does the question's share
+#: of all the item's shingles, as a short answer is a single one.
 SHINGLE, QUESTION, ANSWER = 5, 0.8, 0.5
 #: Items and characters of one index, which is sent to every task. A larger benchmark is searched in several passes.
 MAX_ITEMS, MAX_CHARS = 50_000, 32_000_000
@@ -64,6 +65,7 @@ class Index:
         sides = [parts.hashes[a:b] for a, b in zip(parts.bounds, parts.bounds[1:], strict=False)]
         self.questions = [(shingles(s), min(SHINGLE, len(s))) for s in sides[::2]]
         self.answers = [(shingles(s), min(SHINGLE, len(s))) for s in sides[1::2]]
+        self.wholes = [(shingles(b), min(SHINGLE, len(b))) for b in bags]
         n, mean = len(items), sum(map(len, bags)) / max(1, len(items))
         counts = [Counter(b.tolist()) for b in bags]
         df = Counter(t for c in counts for t in c)
@@ -194,17 +196,17 @@ class Index:
                 best[item] = max(score, best.get(item, 0.0))
         return found
 
-    def verify(self, words: np.ndarray, item: int, held: dict[int, np.ndarray]) -> tuple[float, float]:
-        """(question overlap, answer overlap) of an item in a text's words; held: the text's n-grams by n."""
+    def verify(self, words: np.ndarray, item: int, held: dict[int, np.ndarray]) -> tuple[float, float, float]:
+        """(question overlap, answer overlap, overlap of the whole) of an item in a text's words; held: the text's n-grams by n."""
         out = []
-        for wanted, n in (self.questions[item], self.answers[item]):
+        for wanted, n in (self.questions[item], self.answers[item], self.wholes[item]):
             if not len(wanted):
                 out.append(1.0)
                 continue
             if n not in held:
                 held[n] = np.unique(rolled(words, n)) if len(words) >= n else np.zeros(0, np.uint64)
             out.append(float(np.isin(wanted, held[n]).mean()))
-        return out[0], out[1]
+        return out[0], out[1], out[2]
 
     def leaks(self, texts: list[str]) -> list[list[tuple[object, float, float, float]]]:
         """For each text, (item id, score, question overlap, answer overlap) of every verified item."""
@@ -213,7 +215,7 @@ class Index:
         for i, found in enumerate(self.retrieve(words)):
             mine, held = words.hashes[words.bounds[i] : words.bounds[i + 1]], {}
             checked = [(item, score, *self.verify(mine, item, held)) for item, score in sorted(found.items())]
-            out.append([(self.ids[item], score, q, a) for item, score, q, a in checked if q >= QUESTION and a >= ANSWER])
+            out.append([(self.ids[item], score, q, a) for item, score, q, a, whole in checked if (q >= QUESTION and a >= ANSWER) or whole >= QUESTION])
         return out
 
 

@@ -138,6 +138,15 @@ def test_leaks(spark, odd, none):
     assert decontam.drop_leaks(odd, items).count() == odd.count()
 
 
+def test_leak_with_a_changed_word_in_a_short_answer(spark):
+    question = " ".join(f"word{i}" for i in range(30)) + "?"
+    items = spark.createDataFrame([(1, f"{question} Nine blue ships came home.")], "item_id long, text string")
+    texts = [f"{question} Nine blue ships sailed home.", f"{question} Nine blue ships came home.", f"{question.replace('word9', 'x').replace('word20', 'x')} Nine red ships came home.", "Nine blue ships came home."]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert sorted(r.doc_id for r in decontam.find_leaks(df, items).collect()) == [0, 1]
+    assert sorted(r.doc_id for r in decontam.drop_leaks(df, items).collect()) == [2, 3]
+
+
 def test_wand_equals_exhaustive_search():
     rng = random.Random(1)
     words = [f"t{i}" for i in range(80)]
