@@ -35,23 +35,50 @@ SKETCH, BRANCHES, DEPTH = 64, 3, 6
 LIMIT = 1000
 #: Mean agreement from which a large bucket is compared rather than split.
 DENSE = 0.5
-#: Standard deviations below the threshold at which a sketch still counts as similar.
-SLACK = 4.0
-#: Depth at which an inner split still has this chance to keep a pair together, see `runs`.
+#: Share of the pairs that may be missed, 1 - `recall`, which the sketch may miss, see `agreeing`.
+SKETCH_SHARE = 0.25
 SIGNED = 1 << 63
 
 
-def kept(threshold: float) -> float:
-    """Chance that a pair at the threshold stays together through any number of splits."""
+def kept(agreement: float) -> float:
+    """Chance that a pair that agrees on this share of the sketch stays together through any number of splits."""
     q = 1.0
     for _ in range(DEPTH):
-        q = 1 - (1 - threshold * q) ** BRANCHES
+        q = 1 - (1 - agreement * q) ** BRANCHES
     return q
 
 
+def agreements(threshold: float) -> list[float]:
+    """Chance of each number of sketch coordinates, 0 to SKETCH, on which a pair at the threshold agrees."""
+    return [math.comb(SKETCH, m) * threshold**m * (1 - threshold) ** (SKETCH - m) for m in range(SKETCH + 1)]
+
+
+def agreeing(threshold: float, recall: float) -> int:
+    """Coordinates on which sketches must agree to count as similar: a pair at the threshold falls short of them with at
+    most SKETCH_SHARE of 1 - `recall`. The sketch is the same in all runs, so that they do not win such a pair back."""
+    least, missed = 0, 0.0
+    for chance in agreements(threshold)[:-1]:
+        missed += chance
+        if missed > SKETCH_SHARE * (1 - recall):
+            break
+        least += 1
+    return least
+
+
+def missed(threshold: float, recall: float, times: int) -> float:
+    """Chance that a pair at the threshold is missed in so many runs: by the sketch, or by the splits of every run. Roots
+    are drawn anew in each run; inner splits draw from the sketch, so that a pair that agrees on less of it is parted
+    more often in all runs."""
+    least = agreeing(threshold, recall)
+    return sum(c * (1.0 if m < least else (1 - threshold * kept(m / SKETCH)) ** times) for m, c in enumerate(agreements(threshold)))
+
+
 def runs(threshold: float, recall: float) -> int:
-    """Runs after which a pair at the threshold has shared a compared bucket with probability `recall`."""
-    return math.ceil(math.log(1 - recall) / math.log(1 - threshold * kept(threshold)))
+    """Runs after which a pair at the threshold has become a candidate with probability `recall`."""
+    times = 1
+    while missed(threshold, recall, times) > 1 - recall:
+        times += 1
+    return times
 
 
 @lru_cache(maxsize=4)
@@ -141,9 +168,8 @@ def _grouped(batches: Iterator[pa.RecordBatch], key: int = 0) -> Iterator[list[t
         yield held
 
 
-def _candidates(batches: Iterator[pa.RecordBatch], threshold: float) -> Iterator[pa.RecordBatch]:
+def _candidates(batches: Iterator[pa.RecordBatch], threshold: float, least: int) -> Iterator[pa.RecordBatch]:
     """Star edges (a, b) of the records of each bucket that look similar."""
-    least = math.floor(SKETCH * threshold - SLACK * math.sqrt(SKETCH * threshold * (1 - threshold)))
     a, b = [], []
 
     def flush():
@@ -243,8 +269,9 @@ def buckets(records: DataFrame, threshold: float, limit: int) -> list[DataFrame]
         large = level.where(F.col("n") > limit)
         if large.isEmpty():
             break
-        # Which coordinates a bucket is split on depends on the bucket alone.
-        at = lambda j: F.pmod(F.xxhash64("task", j), F.lit(SKETCH)).cast("int")
+        # Which coordinates a bucket is split on depends on the bucket alone. An odd step makes them different ones.
+        step = 2 * F.pmod(F.xxhash64("task", F.lit(1)), F.lit(SKETCH // 2)) + 1
+        at = lambda j: F.pmod(F.pmod(F.xxhash64("task"), F.lit(SKETCH)) + j * step, F.lit(SKETCH)).cast("int")
         split = large.withColumn("j", F.explode(F.sequence(F.lit(1), F.lit(BRANCHES)))).withColumn("at", at(F.col("j")))
         split = split.withColumn("child", F.xxhash64("task", "at", F.expr("substring(sketch, at + 1, 1)")))
         sizes = split.groupBy("task", "j", "child", "n").agg(F.count(F.lit(1)).alias("c"))
@@ -277,7 +304,7 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n:
     pairs = None
     for frame in buckets(single, threshold, limit):
         pairs = frame if pairs is None else pairs.unionByName(frame)
-    edges = pairs.repartition("task").sortWithinPartitions("task").mapInArrow(partial(_candidates, threshold=threshold), "a binary, b binary")
+    edges = pairs.repartition("task").sortWithinPartitions("task").mapInArrow(partial(_candidates, threshold=threshold, least=agreeing(threshold, recall)), "a binary, b binary")
     groups = components(edges)
     # Exact comparison within candidate groups.
     sizes = groups.groupBy("root").agg(F.count(F.lit(1)).alias("n"))

@@ -54,6 +54,17 @@ def test_jaccard_join(spark, limit):
     assert got == brute_join(rows)
 
 
+@pytest.mark.parametrize(("threshold", "recall"), [(0.8, 0.9999), (0.9, 0.9999), (0.5, 0.99)])
+def test_jaccard_recall_counts_the_sketch(threshold, recall):
+    """Runs and sketch bound together keep the recall: simulated agreements, splits on different coordinates."""
+    least, times = jaccard.agreeing(threshold, recall), jaccard.runs(threshold, recall)
+    below = sum(jaccard.agreements(threshold)[:least])
+    paths = sum(c * (1 - threshold * jaccard.kept(m / jaccard.SKETCH)) ** times for m, c in enumerate(jaccard.agreements(threshold)) if m >= least)
+    assert abs(sum(jaccard.agreements(threshold)) - 1) < 1e-9 and below + paths <= 1 - recall
+    agree = np.random.default_rng(3).random((200_000, jaccard.SKETCH)) < threshold
+    assert (agree.sum(1) < least).mean() <= (1 - recall) / 2
+
+
 def test_jaccard_odd_rows(spark, odd, none):
     got = [(r.doc_id, r.class_id, r.n_links, r.n_copies) for r in jaccard.jaccard_join(odd).collect()]
     assert len(got) == odd.count()
