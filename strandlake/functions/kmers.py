@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # The nucleotide alphabet in code order, its complement and base-4 digits.
@@ -12,6 +12,9 @@ CORNER_X, CORNER_Y, CGR_BITS = "0011", "0110", 32
 # Multipliers of the two polynomial hashes and the prefix the first one reads.
 PREFIX_MULTIPLIER, PREFIX_LENGTH, LONG_MULTIPLIER = 131, 8, 31
 
+#: Windows cut from one piece of a sequence.
+STRIDE = 128
+
 U64 = "decimal(20,0)"
 WORD = 32
 
@@ -49,6 +52,27 @@ def windows(seq: Column | str, k: int) -> Column:
     return F.when(n >= k, F.transform(F.sequence(F.lit(1), n - k + 1), lambda i: F.substring(seq, i, F.lit(k)))).otherwise(empty)
 
 
+def strand_pieces(seqs: DataFrame, k: int, keys: tuple[str, ...], only: Column | None = None) -> DataFrame:
+    """(keys, at, forward, backward, i): a row for each window of seqs(keys, seq), seq in bytes of at least k letters.
+
+    A sequence is cut into pieces of STRIDE windows, `at` bytes from its start. Both strands of a piece are made once
+    (below the generator, as columns of their own) and each row refers to its window in them by i. only: a condition on `forward`.
+    """
+    cut = seqs.select(*keys, "seq", F.explode(F.sequence(F.lit(0), F.length("seq") - k, F.lit(STRIDE))).alias("at"))
+    pieces = cut.select(*keys, "at", F.substring("seq", F.col("at") + 1, F.lit(STRIDE + k - 1)).alias("forward"))
+    if only is not None:
+        pieces = pieces.where(only)
+    strands = pieces.select(*keys, "at", "forward", reverse_complement(F.col("forward").cast("string")).cast("binary").alias("backward"))
+    return strands.select("*", F.explode(F.sequence(F.lit(1), F.length("forward") - k + 1)).alias("i"))
+
+
+def strand_windows(k: int) -> tuple[Column, Column]:
+    """The window of a row of strand_pieces on either strand."""
+    forward = F.substring(F.col("forward"), F.col("i"), F.lit(k))
+    backward = F.substring(F.col("backward"), F.length("backward") - F.col("i") - k + 2, F.lit(k))
+    return forward.cast("string"), backward.cast("string")
+
+
 def digits(kmer: Column | str) -> Column:
     return F.translate(_c(kmer), BASES, DIGITS)
 

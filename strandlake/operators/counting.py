@@ -12,16 +12,14 @@ from strandlake.functions import kmers as K
 def canonical_windows(reads: DataFrame, k: int, keys: tuple[str, ...] = ("accession",)) -> DataFrame:
     """(keys, kmer): every valid window in canonical form.
 
-    The reverse complement is taken once a run; a window on it is an index away. Reads that are null
-    or shorter than k, and windows over any byte but ACGT, give nothing.
+    Runs of valid bases are cut into pieces, see K.strand_pieces, so that the time is linear in the length of a
+    read and a window costs two copies of k bytes. Reads that are null or shorter than k, and windows over any byte but
+    ACGT, give nothing.
     """
-    n = F.length("run")
     # Within this projection no other column is carried, so that shuffles move keys and k-mers only.
     runs = reads.where(F.length("seq") >= k).select(*keys, F.explode(K.valid_runs("seq", k)).alias("run"))
-    stranded = runs.select(*keys, "run", K.reverse_complement("run").alias("rc"), F.explode(F.sequence(F.lit(1), n - k + 1)).alias("i"))
-    forward = F.substring(F.col("run"), F.col("i"), F.lit(k))
-    backward = F.substring(F.col("rc"), F.length("run") - F.col("i") - k + 2, F.lit(k))
-    return stranded.select(*keys, F.least(forward, backward).alias("kmer"))
+    windows = K.strand_pieces(runs.select(*keys, F.col("run").cast("binary").alias("seq")), k, keys)
+    return windows.select(*keys, F.least(*K.strand_windows(k)).alias("kmer"))
 
 
 def wrapped(total: Column, cfg: CountConfig) -> Column:

@@ -16,15 +16,19 @@ def ref_index(records: DataFrame, k: int, invalid: str = "drop") -> DataFrame:
     """
     if invalid not in ("drop", "poly_a"):
         raise ValueError("invalid must be 'drop' or 'poly_a'")
-    usable = records.where(F.length("seq") >= k)
-    at = usable.select("chromosome", "accession", "seq", F.explode(F.sequence(F.lit(0), F.length("seq") - k)).alias("p"))
-    window = at.select("chromosome", "accession", F.col("p").cast("long").alias("position"), F.substring(F.col("seq"), F.col("p") + 1, F.lit(k)).alias("w"))
-    indexed = window.select("chromosome", "accession", "position", K.canonical("w").alias("kmer"))
+    names = ("chromosome", "accession")
+    # One letter a character, so that positions are byte offsets.
+    usable = records.where(F.length("seq") >= k).select(*names, F.regexp_replace("seq", "[^ACGT]", "N").cast("binary").alias("seq"))
+    some = F.col("forward").cast("string").rlike(f"[ACGT]{{{k}}}") if invalid == "drop" else None
+    windows = K.strand_pieces(usable, k, names, some)
+    forward, backward = K.strand_windows(k)
+    valid, kmer = ~F.contains(forward, F.lit("N")), F.least(forward, backward)
     if invalid == "drop":
-        indexed = indexed.where(F.col("kmer") != "")
+        windows = windows.where(valid)
     else:
-        indexed = indexed.withColumn("kmer", F.when(F.col("kmer") == "", F.lit("A" * k)).otherwise(F.col("kmer")))
-    return indexed.select("kmer", "chromosome", "position", "accession")
+        kmer = F.when(valid, kmer).otherwise(F.lit("A" * k))
+    position = F.col("at").cast("long") + F.col("i") - 1
+    return windows.select(kmer.alias("kmer"), "chromosome", position.alias("position"), "accession")
 
 
 def locate(kmers: DataFrame, index: DataFrame) -> DataFrame:
