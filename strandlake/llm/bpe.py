@@ -25,9 +25,9 @@ from pyspark.sql import DataFrame
 WORD_SHIFT = 8
 WORD_MASK = (1 << WORD_SHIFT) - 1
 BITS = [1 << i for i in range(1 << WORD_SHIFT)]
-#: Encoded pre-tokens of one generation of a worker's memory (two of them take about 100 MB). A full generation becomes the
+#: Encoded pre-tokens of one generation of a worker's memory (two of them take about 50 MB). A full generation becomes the
 #: older one, from which what is met again is taken over; both are emptied when another run begins.
-MEMORY = 225_000
+MEMORY = 120_000
 #: Longer pre-tokens are not remembered.
 MEMORY_LENGTH = 64
 #: Characters of the texts, and bytes of the new pre-tokens, that are encoded together (or one longer text or pre-token).

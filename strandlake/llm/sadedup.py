@@ -32,14 +32,9 @@ from strandlake.llm.suffixes import deep_shallow, lcp, nodes
 #: Bytes of the repeated strings, and of an anchor.
 LENGTH, ANCHOR = 400, 32
 #: Bytes a task scans at once (or one longer document).
-BLOCK_BYTES = 2_000_000
+BLOCK_BYTES = 1_000_000
 #: Contexts of one anchor that are sorted in memory together; larger groups are split by content.
 GROUP = 20_000
-SIGNED = 1 << 64
-
-
-def signed(x: int) -> int:
-    return x - SIGNED if x >> 63 else x
 
 
 def anchor_positions(data: np.ndarray, ends: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
@@ -214,14 +209,16 @@ def cut(data: bytes, ranges: list[dict] | None, length: int) -> tuple[bytes, int
     return np.frombuffer(data, np.uint8)[~gone].tobytes(), int(gone.sum()), runs
 
 
-def _cut(batches: Iterator[pa.RecordBatch], length: int, digest: bool) -> Iterator[pa.RecordBatch]:
+def _cut(batches: Iterator[pa.RecordBatch], length: int, form: str) -> Iterator[pa.RecordBatch]:
+    """form: kept as `bytes`, as their SHA-256 `digest`, or as `text` without characters of which only some bytes remain."""
+    give = {"bytes": bytes, "digest": lambda kept: hashlib.sha256(kept).hexdigest(), "text": lambda kept: kept.decode("utf-8", "ignore")}[form]
     for b in batches:
         rows = []
         for data, ranges in zip(b.column(1).to_pylist(), b.column(2).to_pylist(), strict=True):
             kept, removed, runs = cut(data, ranges, length)
-            rows.append((len(data), removed, runs, hashlib.sha256(kept).hexdigest() if digest else kept))
+            rows.append((len(data), removed, runs, give(kept)))
         cols = list(zip(*rows, strict=True)) or [[]] * 4
-        kinds = [pa.int64(), pa.int64(), pa.int64(), pa.string() if digest else pa.binary()]
+        kinds = [pa.int64(), pa.int64(), pa.int64(), pa.binary() if form == "bytes" else pa.string()]
         yield pa.RecordBatch.from_arrays([b.column(0), *(pa.array(c, k) for c, k in zip(cols, kinds, strict=True))], ["id", "n_bytes", "n_removed", "n_spans", "kept"])
 
 
@@ -232,25 +229,16 @@ def cut_rows(docs: DataFrame, text_col: str = "text", chars_col: str = "n_chars"
     """
     others = [c for c in docs.columns if c != text_col]
     row = F.struct(F.struct(*others).alias("rest"), F.col(text_col).isNull().alias("none"))
-    out = remove_repeats(docs.select(row.alias("row"), text_col), "row", text_col, length)
-    kept = F.when(~F.col("row.none"), F.col("kept"))
-    named = out.select("row.rest.*", kept.alias(text_col)).mapInArrow(partial(_decode, text_col=text_col), docs.select(*others, text_col).schema)
+    out = remove_repeats(docs.select(row.alias("row"), text_col), "row", text_col, length, form="text")
+    named = out.select("row.rest.*", F.when(~F.col("row.none"), F.col("kept")).alias(text_col))
     if chars_col in docs.columns:
         named = named.withColumn(chars_col, F.length(text_col).cast(docs.schema[chars_col].dataType))
     return named.select(docs.columns)
 
 
-def _decode(batches: Iterator[pa.RecordBatch], text_col: str) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        place = batch.schema.names.index(text_col)
-        texts = [None if b is None else b.decode("utf-8", "ignore") for b in batch.column(place).to_pylist()]
-        yield batch.set_column(place, text_col, pa.array(texts, pa.string()))
-
-
-def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH, digest: bool = False, group: int = GROUP) -> DataFrame:
+def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH, form: str = "bytes", group: int = GROUP) -> DataFrame:
     """(id_col, n_bytes, n_removed, n_spans, kept): each text's UTF-8 bytes without every byte that a string of
-    `length` bytes covers which also starts elsewhere, in the same text or another; kept as bytes, or with digest as
-    their SHA-256 hex digest.
+    `length` bytes covers which also starts elsewhere, in the same text or another; kept as `form` says, see _cut.
 
     A null text is the empty text. Matches never cross texts and are judged on the input. Repeated rows are copies of
     each other; rows with null or equal ids are told apart by their text. Other columns are ignored; an empty
@@ -291,5 +279,5 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     large = strings.where("single").join(often, "digest").select("k1", "k2", F.col("start").alias("lo"), F.col("start").alias("hi"))
     ranges = whole.unionByName(partly).unionByName(large).groupBy("k1", "k2").agg(F.collect_list(F.struct("lo", "hi")).alias("ranges"))
     cutting = rows.join(ranges, ["k1", "k2"], "left").select("id", "data", "ranges")
-    out = cutting.mapInArrow(partial(_cut, length=length, digest=digest), f"id {kind}, n_bytes bigint, n_removed bigint, n_spans bigint, kept {'string' if digest else 'binary'}")
+    out = cutting.mapInArrow(partial(_cut, length=length, form=form), f"id {kind}, n_bytes bigint, n_removed bigint, n_spans bigint, kept {'binary' if form == 'bytes' else 'string'}")
     return out.withColumnRenamed("id", id_col)
