@@ -23,6 +23,7 @@ import xxhash
 import zstandard
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import MapType
 
 from strandlake.llm.chars import Words, blocks
 from strandlake.llm.components import components
@@ -33,6 +34,8 @@ WORDS, THRESHOLD, RECALL = 5, 0.8, 0.9999
 SKETCH, BRANCHES, DEPTH = 64, 3, 6
 #: Records compared by brute force in one task; larger groups are compared block by block.
 LIMIT = 1000
+#: Large groups whose sizes are broadcast; more of them are joined by a shuffle. Tasks that the rows of one class are spread over.
+BROADCAST_GROUPS, SALTS = 1_000_000, 16
 #: Mean agreement from which a large bucket is compared rather than split.
 DENSE = 0.5
 #: Share of the pairs that may be missed, 1 - `recall`, which the sketch may miss, see `agreeing`.
@@ -307,8 +310,10 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n:
     edges = pairs.repartition("task").sortWithinPartitions("task").mapInArrow(partial(_candidates, threshold=threshold, least=agreeing(threshold, recall)), "a binary, b binary")
     groups = components(edges)
     # Exact comparison within candidate groups.
-    sizes = groups.groupBy("root").agg(F.count(F.lit(1)).alias("n"))
-    members = groups.withColumnRenamed("node", "fp").join(sizes, "root").join(equal, "fp")
+    # Only groups larger than a block need their size; at most a thousandth of the records lead one.
+    large = settle(groups.groupBy("root").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > limit), "large")
+    large = F.broadcast(large) if large.count() <= BROADCAST_GROUPS else large
+    members = groups.withColumnRenamed("node", "fp").join(large, "root", "left").fillna(1, ["n"]).join(equal, "fp")
     placed = members.withColumn("blocks", F.ceil(F.col("n") / F.lit(limit)).cast("int")).withColumn("mine", F.pmod(F.xxhash64("fp"), F.col("blocks")).cast("int"))
     dealt = placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     task = F.xxhash64("root", F.least("mine", "other"), F.greatest("mine", "other"))
@@ -338,25 +343,32 @@ def jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     gives an empty table.
     """
     rows = classes(docs, id_col, text_col, **settings)
-    least = rows.where("root is not null").groupBy("root").agg(F.min("id").alias("class_id"))
-    out = rows.join(least, "root", "left")
-    alone = F.col("root").isNull()
-    return out.select(
+    # A row that shares its class with no other is its own class; only the rest is joined, spread by a salt.
+    alone = F.col("root").isNull() | ((F.col("root") == F.col("fp")) & (F.col("links") == 0) & (F.col("copies") == 1))
+    rows = rows.withColumns({"key": F.when(~alone, F.col("root")), "salt": F.pmod(F.xxhash64("k1", "k2"), F.lit(SALTS))})
+    least = rows.where("key is not null").groupBy("key").agg(F.min("id").alias("class_id"))
+    least = least.withColumn("salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))))
+    none = F.col("root").isNull()
+    return rows.join(least, ["key", "salt"], "left").select(
         F.col("id").alias(id_col),
-        F.when(alone, F.col("id")).otherwise(F.col("class_id")).alias("class_id"),
-        F.when(alone, F.lit(0)).otherwise(F.col("links") + F.col("copies") - 1).cast("long").alias("n_links"),
-        F.when(alone, F.lit(1)).otherwise(F.col("copies")).cast("long").alias("n_copies"),
+        F.when(F.col("key").isNull(), F.col("id")).otherwise(F.col("class_id")).alias("class_id"),
+        F.when(none, F.lit(0)).otherwise(F.col("links") + F.col("copies") - 1).cast("long").alias("n_links"),
+        F.when(none, F.lit(1)).otherwise(F.col("copies")).cast("long").alias("n_copies"),
     )
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **settings) -> DataFrame:
-    """The rows of docs, one of each class: the one with the least id. Rows without a set all stay."""
+    """The rows of docs, one of each class of linked rows: the one with the least id (null ids last), and of rows with equal
+    ids the one whose values are least by hash. Rows without a set (null and empty texts) all stay, repeated ones too. All
+    columns come back as they are, whatever their names; an empty table gives an empty table."""
+    whole = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.struct(*docs.columns).alias("row"))
     rows = classes(docs, id_col, text_col, **settings)
     first = F.row_number().over(Window.partitionBy("root").orderBy(F.col("id").asc_nulls_last(), "k1", "k2"))
     # The limit on the row number is applied before the shuffle too, so that a class of any size costs each task one row.
     chosen = rows.where("root is not null").withColumn("place", first).where("place = 1").select("k1", "k2")
-    alone = rows.where("root is null").select("k1", "k2").distinct()
-    keyed = row_keys(docs, id_col, text_col)
-    kept_rows = keyed.join(chosen.unionByName(alone), ["k1", "k2"], "left_semi")
-    again = F.row_number().over(Window.partitionBy("k1", "k2").orderBy("k1"))
-    return kept_rows.withColumn("place", again).where(F.col("place") == 1).select(docs.columns)
+    keyed = row_keys(whole, "id", "text")
+    alone = keyed.where(F.coalesce(F.col("text"), F.lit("")) == "").select("row.*")
+    # Rows with the same id and text have the same keys; the rank is again limited before the shuffle.
+    again = F.row_number().over(Window.partitionBy("k1", "k2").orderBy(F.xxhash64(*[F.col(f"row.`{c}`") for c in docs.columns if not isinstance(docs.schema[c].dataType, MapType)])))
+    linked = keyed.join(chosen, ["k1", "k2"], "left_semi").withColumn("place", again).where("place = 1").select("row.*")
+    return linked.unionByName(alone)
