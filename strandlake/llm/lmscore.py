@@ -67,7 +67,8 @@ def _ask(table: pa.Table, order: int, parts: int) -> pa.Table:
     """A block's distinct n-grams and their counts, by n and partition."""
     block = table.column("block")[0].as_py()
     words, pack = Words(texts_of(table.column("packed").to_pylist())), zstandard.ZstdCompressor(1)
-    rows = []
+    # Under n = 0 every block asks for the number of words of the corpus.
+    rows = [(0, 0, block, planes(np.zeros(1, np.uint64), pack), planes(np.array([len(words.hashes)], np.uint32), pack))]
     for n in range(1, order + 1):
         values, counts = np.unique(hashed(words, n)[0], return_counts=True)
         cuts = [0, *np.searchsorted(values, edges(parts)).tolist(), len(values)]
@@ -124,12 +125,13 @@ def score_texts(texts: list[str], totals: list[np.ndarray], tokens: int) -> list
     return [(int(s), float(v), int(h)) for s, v, h in zip(sizes, sums, hits, strict=True)]
 
 
-def _score(left: pa.Table, right: pa.Table, tokens: int, order: int, schema: pa.Schema) -> pa.Table:
+def _score(left: pa.Table, right: pa.Table, order: int, schema: pa.Schema) -> pa.Table:
     unpack = zstandard.ZstdDecompressor()
     if not left.num_rows:
         return schema.empty_table()
     replies = sorted(zip(right.column("n").to_pylist(), right.column("part").to_pylist(), right.column("totals").to_pylist(), strict=True), key=lambda r: r[:2])
     totals = [np.concatenate([np.zeros(0, np.uint64), *(unplanes(t, "u8", unpack) for k, _, t in replies if k == n)]) for n in range(1, order + 1)]
+    tokens = next(int(unplanes(t, "u8", unpack)[0]) for k, _, t in replies if k == 0)
     scored = score_texts(texts_of(left.column("packed").to_pylist()), totals, tokens)
     words, logs, hits = (list(c) for c in zip(*scored, strict=True))
     mean = [v / n if n else None for n, v in zip(words, logs, strict=True)]
@@ -162,11 +164,10 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", order
 
     asked = packed.groupBy("block").applyInArrow(ask, "n int, part int, block bigint, grams binary, counts binary")
     answers = asked.groupBy("n", "part").applyInArrow(_answer, "block bigint, n int, part int, totals binary")
-    tokens = rows.select(F.size(F.regexp_extract_all("text", F.lit(r"[\p{L}\p{N}]+"), F.lit(0))).alias("n")).agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
     schema = pa.schema([("id", to_arrow_type(kind)), ("n_words", pa.int64()), ("log_score", pa.float64()), ("mean_log_score", pa.float64()), ("longest_hits", pa.int64())])
 
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
-        return _score(left, right, tokens, order, schema)
+        return _score(left, right, order, schema)
 
     out = packed.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(run, f"id {kind.simpleString()}, n_words bigint, log_score double, mean_log_score double, longest_hits bigint")
     return out.withColumnRenamed("id", id_col)
