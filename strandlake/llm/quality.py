@@ -19,8 +19,8 @@ from strandlake.llm.chars import Words, blocks, tables
 
 #: Words of a passage; sizes of the learned layer and of the attention.
 PASSAGE, HIDDEN, ATTENTION = 64, 24, 12
-#: Labelled documents the model is fitted on, and passages of each, evenly spread. Scoring uses all passages.
-TRAIN_DOCS, TRAIN_PASSAGES = 4000, 32
+#: Labelled documents the model is fitted on, with all their passages.
+TRAIN_DOCS = 4000
 EPOCHS, BATCH, RATE = 25, 64, 0.01
 THRESHOLD = 0.3
 # Characters with a shape class of their own.
@@ -127,7 +127,7 @@ class Model:
                 some = order[i : i + BATCH]
                 sizes = np.array([len(bags[k]) for k in some])
                 starts = np.concatenate([[0], np.cumsum(sizes)[:-1]])
-                grads = self.gradients(np.concatenate([bags[k] for k in some]), starts, np.repeat(np.arange(len(some)), sizes), labels[some])
+                grads = self.gradients(np.concatenate([bags[k] for k in some]).astype(np.float64), starts, np.repeat(np.arange(len(some)), sizes), labels[some])
                 step += 1
                 for k, grad in grads.items():
                     grad = grad + 1e-4 * self.w[k]
@@ -143,8 +143,7 @@ def _bags(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, texts in blocks([t or "" for t in batch.column(1).to_pylist()]):
             x, bounds = encode(texts)
             for a, b in zip(bounds, bounds[1:], strict=False):
-                pick = np.unique(np.linspace(a, b - 1, min(b - a, TRAIN_PASSAGES)).round().astype(int))
-                out.append(x[pick].astype("<f4").tobytes())
+                out.append(x[a:b].astype("<f4").tobytes())
         yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.binary())], ["label", "bag"])
 
 
@@ -152,17 +151,17 @@ def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     """Model fitted on the TRAIN_DOCS labelled rows whose ids hash lowest; none without a labelled row.
 
     labels(id_col, label_col): rows with a null id or label are left out. The sample's ids, at most TRAIN_DOCS, are broadcast;
-    its passages come encoded, at most TRAIN_PASSAGES of a document.
+    its texts (of documents with equal ids the least text) come to the driver as encoded passages, 2 kB each.
     """
     rows = labels.select(F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("label")).where("id is not null and label is not null")
     chosen = rows.orderBy(F.xxhash64("id"), "id", "label").limit(TRAIN_DOCS)
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    joined = texts.join(F.broadcast(chosen), "id").select("label", "text", "id")
-    bags = joined.select("label", "text").mapInArrow(_bags, "label int, bag binary").limit(2 * TRAIN_DOCS).collect()
+    sample = texts.join(F.broadcast(chosen.distinct()), "id").groupBy("id", "label").agg(F.min("text").alias("text"))
+    bags = sample.select("label", "text").mapInArrow(_bags, "label int, bag binary").collect()
     if not bags:
         return None
     bags.sort(key=lambda r: (r.label, bytes(r.bag)))  # the fit depends on the rows, not on their order
-    x = [np.frombuffer(r.bag, "<f4").reshape(-1, FEATURES).astype(np.float64) for r in bags]
+    x = [np.frombuffer(r.bag, "<f4").reshape(-1, FEATURES) for r in bags]
     return Model().fit(x, np.array([float(r.label) for r in bags]))
 
 
