@@ -59,8 +59,9 @@ class Rows:
             yield {"role": role or "", "text": text or "", "turn": turn}
 
 
-def parts(pieces: Iterator[tuple[str, bool]]) -> Iterator[tuple[int, str, list[dict]]]:
+def parts(pieces: Iterator[tuple[str, bool]], size_of_part: int = 0) -> Iterator[tuple[int, str, list[dict]]]:
     """(number, text, mask spans) of a rendering, cut into parts between pieces."""
+    limit = size_of_part or PART_CHARS
     held, spans, size, number = [], [], 0, 0
     for text, masked in pieces:
         if masked and text:
@@ -70,7 +71,7 @@ def parts(pieces: Iterator[tuple[str, bool]]) -> Iterator[tuple[int, str, list[d
                 spans.append({"start": size, "stop": size + len(text)})
         held.append(text)
         size += len(text)
-        if size >= PART_CHARS:
+        if size >= limit:
             yield number, "".join(held), spans
             held, spans, size, number = [], [], 0, number + 1
     if held or not number:
@@ -80,7 +81,7 @@ def parts(pieces: Iterator[tuple[str, bool]]) -> Iterator[tuple[int, str, list[d
 SPANS = pa.list_(pa.struct([("start", pa.int64()), ("stop", pa.int64())]))
 
 
-def _format(batches: Iterator[pa.RecordBatch], template: str, id_type: pa.DataType) -> Iterator[pa.RecordBatch]:
+def _format(batches: Iterator[pa.RecordBatch], template: str, id_type: pa.DataType, part_chars: int) -> Iterator[pa.RecordBatch]:
     render = compile_template(template, FILTERS)
 
     def batch(rows):
@@ -89,7 +90,7 @@ def _format(batches: Iterator[pa.RecordBatch], template: str, id_type: pa.DataTy
 
     held, size = [], 0
     for key, turns in Rows(batches).conversations():
-        for number, text, spans in parts(render({"messages": turns})):
+        for number, text, spans in parts(render({"messages": turns}), part_chars):
             held.append((key, number, text, spans))
             size += len(text)
             if size >= PART_CHARS:
@@ -99,8 +100,8 @@ def _format(batches: Iterator[pa.RecordBatch], template: str, id_type: pa.DataTy
         yield batch(held)
 
 
-def format_conversations(conversations: DataFrame, template: str = DEFAULT, id_col: str = "conv_id", turn_col: str = "turn", role_col: str = "role", text_col: str = "text") -> DataFrame:
-    """(id_col, part, text, spans): formatted text of every conversation in parts of about PART_CHARS characters;
+def format_conversations(conversations: DataFrame, template: str = DEFAULT, id_col: str = "conv_id", turn_col: str = "turn", role_col: str = "role", text_col: str = "text", part_chars: int = PART_CHARS) -> DataFrame:
+    """(id_col, part, text, spans): formatted text of every conversation in parts of about part_chars characters;
     spans are the loss mask as [start, stop) ranges of code points within the part.
 
     Turns are ordered by (turn, role, text); null roles and texts are empty; rows with a null id are one conversation;
@@ -112,7 +113,7 @@ def format_conversations(conversations: DataFrame, template: str = DEFAULT, id_c
     kind = conversations.schema[id_col].dataType
     rows = conversations.select(conversations[id_col].alias("conv_id"), conversations[turn_col].alias("turn"), conversations[role_col].alias("role"), conversations[text_col].alias("text"))
     ordered = rows.repartition("conv_id").sortWithinPartitions("conv_id", "turn", "role", "text")
-    run = partial(_format, template=template, id_type=to_arrow_type(kind))
+    run = partial(_format, template=template, id_type=to_arrow_type(kind), part_chars=part_chars)
     return ordered.mapInArrow(run, f"conv_id {kind.simpleString()}, part int, text string, spans array<struct<start: bigint, stop: bigint>>").withColumnRenamed("conv_id", id_col)
 
 
@@ -165,13 +166,16 @@ def _read(batches: Iterator[pa.RecordBatch], id_type: pa.DataType) -> Iterator[p
         kinds = [id_type, pa.int64(), pa.string(), pa.int64(), pa.string(), pa.int64()]
         return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds, strict=True)], ["conv_id", *(f.split()[0] for f in RESULT.split(", "))])
 
-    reader, key, out = None, None, []
+    reader, key, due, out = None, None, 0, []
     for b in batches:
         for k, part, text, spans in zip(*(c.to_pylist() for c in b.columns), strict=True):
-            if reader is None or part == 0:
+            if reader is None or k != key:
                 if reader is not None:
                     out.append((key, *reader.result()))
-                reader, key = Reader(), k
+                reader, key, due = Reader(), k, 0
+            if part != due:
+                raise ValueError(f"conversation {k}: part {part} instead of {due}")
+            due += 1
             reader.feed(text, spans)
             if len(out) >= 5000:
                 yield batch(out)
@@ -183,10 +187,15 @@ def _read(batches: Iterator[pa.RecordBatch], id_type: pa.DataType) -> Iterator[p
 
 
 def read_back(formatted: DataFrame, id_col: str = "conv_id") -> DataFrame:
-    """(id_col, digests) of conversations in the default template's marks, parsed from format_conversations' output
-    in its own order: turns found by their marks, texts unescaped, the loss text by the spans."""
+    """(id_col, digests) of conversations in the default template's marks, parsed from format_conversations' output,
+    in whatever order its rows come: turns found by their marks, texts unescaped, the loss text by the spans.
+
+    Rows with a null id are one conversation. Parts that are missing or repeated, and text that is not made of turns, fail
+    the query; an empty table gives an empty table; other columns are ignored. One more shuffle, by conversation.
+    """
     from pyspark.sql.pandas.types import to_arrow_type
 
     kind = formatted.schema[id_col].dataType
     run = partial(_read, id_type=to_arrow_type(kind))
-    return formatted.select(id_col, "part", "text", "spans").mapInArrow(run, f"conv_id {kind.simpleString()}, {RESULT}").withColumnRenamed("conv_id", id_col)
+    parts_ = formatted.select(formatted[id_col].alias("conv_id"), "part", "text", "spans").repartition("conv_id").sortWithinPartitions("conv_id", "part")
+    return parts_.mapInArrow(run, f"conv_id {kind.simpleString()}, {RESULT}").withColumnRenamed("conv_id", id_col)
