@@ -66,6 +66,7 @@ class Index:
         self.questions = [(shingles(s), min(SHINGLE, len(s))) for s in sides[::2]]
         self.answers = [(shingles(s), min(SHINGLE, len(s))) for s in sides[1::2]]
         self.wholes = [(shingles(b), min(SHINGLE, len(b))) for b in bags]
+        self.lengths = [len(b) for b in bags]
         n, mean = len(items), sum(map(len, bags)) / max(1, len(items))
         counts = [Counter(b.tolist()) for b in bags]
         df = Counter(t for c in counts for t in c)
@@ -151,9 +152,9 @@ class Index:
             out.append([item, place, term])
         return out
 
-    def retrieve(self, words: Words) -> list[dict[int, float]]:
-        """For each text, the items that some passage of it retrieves, with the best score."""
-        found: list[dict[int, float]] = [{} for _ in words.texts]
+    def retrieve(self, words: Words) -> list[dict[int, tuple[float, list[int]]]]:
+        """For each text, the items that some passage of it retrieves, with the best score and the first words of those passages."""
+        found: list[dict[int, tuple[float, list[int]]]] = [{} for _ in words.texts]
         if not len(self.terms):
             return found
         number = self.lookup(words.hashes)
@@ -193,12 +194,28 @@ class Index:
                 continue
             best = found[text[k]]
             for item, score in self.search(terms.tolist(), RETRIEVE):
-                best[item] = max(score, best.get(item, 0.0))
+                top, places = best.get(item, (0.0, []))
+                best[item] = max(score, top), [*places, int(first[k])]
         return found
 
-    def verify(self, words: np.ndarray, item: int, held: dict[int, np.ndarray]) -> tuple[float, float, float]:
-        """(question overlap, answer overlap, overlap of the whole) of an item in a text's words; held: the text's n-grams by n."""
-        out = []
+    def regions(self, item: int, places: list[int], begin: int, end: int) -> Iterator[tuple[int, int]]:
+        """Word ranges in which the item may lie: the passages that retrieve it and its length to either side, joined where
+        they overlap, within the text begin:end."""
+        around = self.lengths[item]
+        lo = hi = -1
+        for place in places:  # in ascending order
+            a, z = max(begin, place - around), min(end, place + WINDOW + around)
+            if lo >= 0 and a <= hi:
+                hi = z
+            else:
+                if lo >= 0:
+                    yield lo, hi
+                lo, hi = a, z
+        yield lo, hi
+
+    def verify(self, words: np.ndarray, item: int) -> tuple[float, float, float]:
+        """(question overlap, answer overlap, overlap of the whole) of an item in a region's words."""
+        out, held = [], {}
         for wanted, n in (self.questions[item], self.answers[item], self.wholes[item]):
             if not len(wanted):
                 out.append(1.0)
@@ -209,13 +226,19 @@ class Index:
         return out[0], out[1], out[2]
 
     def leaks(self, texts: list[str]) -> list[list[tuple[object, float, float, float]]]:
-        """For each text, (item id, score, question overlap, answer overlap) of every verified item."""
+        """For each text, (item id, score, question overlap, answer overlap) of every verified item, in the region that holds most of it."""
         words = Words(texts)
         out = []
         for i, found in enumerate(self.retrieve(words)):
-            mine, held = words.hashes[words.bounds[i] : words.bounds[i + 1]], {}
-            checked = [(item, score, *self.verify(mine, item, held)) for item, score in sorted(found.items())]
-            out.append([(self.ids[item], score, q, a) for item, score, q, a, whole in checked if (q >= QUESTION and a >= ANSWER) or whole >= QUESTION])
+            begin, end = int(words.bounds[i]), int(words.bounds[i + 1])
+            mine = []
+            for item, (score, places) in sorted(found.items()):
+                checked = (self.verify(words.hashes[a:z], item) for a, z in self.regions(item, places, begin, end))
+                good = [(whole, q, a) for q, a, whole in checked if (q >= QUESTION and a >= ANSWER) or whole >= QUESTION]
+                if good:
+                    _, q, a = max(good)
+                    mine.append((self.ids[item], score, q, a))
+            out.append(mine)
         return out
 
 
@@ -275,7 +298,11 @@ def find_leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_c
 
 
 def drop_leaks(docs: DataFrame, items: DataFrame, text_col: str = "text", item_col: str = "item_id", item_text: str = "text") -> DataFrame:
-    """The rows of docs in which no test item is found, all columns as they are."""
+    """The rows of docs in which no test item is found (see find_leaks), all columns as they are.
+
+    Null and empty texts, rows with null or equal ids and repeated rows stay unless an item is found in them; columns may have
+    any name; an empty table on either side leaves docs as it is.
+    """
     for shard in shards(items, item_col, item_text):
         docs = docs.mapInArrow(partial(_clean, items=shard, text_col=text_col), docs.schema)
     return docs
