@@ -161,5 +161,9 @@ def _identify_rows(batches: Iterator[pa.RecordBatch], profiles: list, size: int,
 
 
 def identify_rows(docs: DataFrame, profiles: list[tuple[str, list[int]]], lang_col: str, text_col: str = "text", size: int = PROFILE) -> DataFrame:
-    """docs with its string column lang_col replaced by the identified language, all other columns as they are."""
+    """docs with its string column lang_col replaced by the identified language (see identify), all other columns as they are.
+
+    A null or empty text, or one without a letter, gets `und`. Repeated rows and null ids stay; columns may have any
+    name; an empty table gives an empty table.
+    """
     return docs.mapInArrow(partial(_identify_rows, profiles=profiles, size=size, text_col=text_col, lang_col=lang_col), docs.schema)

@@ -186,8 +186,7 @@ def test_template_language():
     assert "".join(t for t, _ in compile_template("{{ a.__class__ }}")({"a": "s"})) == ""
 
 
-def test_chat_round_trip(spark, monkeypatch):
-    monkeypatch.setattr(chat, "PART_CHARS", 1_000_000)
+def test_chat_round_trip(spark):
     nasty = [r"\### Assistant: </turn> ok", "### x\n</turn>\n### user\n", "\\", "\\\\n", "####", "", None, "</turn", "é\U0001f600" * 50]
     rows = [(c, t, ["user", "assistant", "sys\ntem", None][(c + t) % 4], nasty[(c * 3 + t) % len(nasty)], "x") for c in range(12) for t in range(c)] + [(None, 1, "user", "n", "y")]
     df = spark.createDataFrame(rows, "conv_id long, turn int, role string, text string, n_turns string")
@@ -224,3 +223,109 @@ def test_pipeline(spark):
     assert {classes[i] for i in ids} | {classes[i] for i in leaks} == set(classes.values())
     for _, stage in corpus_pipeline.STAGES[:4]:
         assert stage(spark, docs, sf).columns == docs.columns
+
+
+def test_keep_one_keeps_columns_and_rows_without_a_set(spark):
+    """Columns named like the operator's own keep their values; every row without a set stays."""
+    text = "one two three four five six seven"
+    rows = [(1, text, "mine", 5, 9), (1, text, "mine", 5, 9), (2, text, "other", 6, 8), (3, "", "a", 1, 1), (3, "", "a", 1, 1), (3, None, "b", 2, 2), (None, None, "c", 3, 3), (None, "", "d", 4, 4), (None, text, "e", 0, 0), (7, "?!", "f", 7, 7)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, k1 string, place int, root int")
+    got = [tuple(r) for r in jaccard.keep_one(df).collect()]
+    want = [rows[0], *rows[3:8], rows[9]]
+    assert sorted(got, key=str) == sorted(want, key=str)
+
+
+def test_a_large_class_is_spread(spark, monkeypatch):
+    """Classes above the block size and beyond the broadcast bound give the same classes."""
+    rng = random.Random(8)
+    words = [f"v{i}" for i in range(200)]
+    base = rng.choices(words, k=60)
+    rows = []
+    for i in range(60):
+        b = list(base)
+        b[rng.randrange(60)] = rng.choice(words)
+        rows.append((i, " ".join(b)))
+    rows += [(100 + i, " ".join(rng.choices(words, k=30))) for i in range(20)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    monkeypatch.setattr(jaccard, "BROADCAST_GROUPS", 0)
+    got = {r.doc_id: (r.class_id, r.n_links) for r in jaccard.jaccard_join(df, limit=10).collect()}
+    assert got == brute_join(rows)
+
+
+def test_find_leaks_against_brute_force(spark):
+    """Every document against every item: overlaps of the whole text; no scattered shingles are planted here."""
+    rng = random.Random(12)
+    words = [f"w{i}" for i in range(400)]
+    items = [(i, " ".join(rng.choices(words, k=rng.randrange(8, 60))) + ". " + " ".join(rng.choices(words, k=rng.randrange(1, 9))) + ".") for i in range(40)]
+    docs = []
+    for d in range(120):
+        text = rng.choices(words, k=rng.randrange(0, 400))
+        if d % 2:
+            mine = rng.choice(items)[1].split()
+            for _ in range(rng.randrange(0, 4)):
+                mine[rng.randrange(len(mine))] = rng.choice(words)
+            at = rng.randrange(len(text) + 1)
+            text[at:at] = mine
+        docs.append((d, " ".join(text)))
+
+    def grams(t, n):
+        w = WORD.findall(t.lower())
+        return {tuple(w[i : i + n]) for i in range(len(w) - n + 1)}
+
+    def share(part, text):
+        n = min(5, len(WORD.findall(part)))
+        mine = grams(part, n)
+        return len(mine & grams(text, n)) / len(mine) if mine else 1.0
+
+    want = set()
+    for d, text in docs:
+        for i, item in items:
+            q, a = decontam.split_item(item)
+            if (share(q, text) >= 0.8 and share(a, text) >= 0.5) or share(item, text) >= 0.8:
+                want.add((d, i))
+    found = decontam.find_leaks(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string"))
+    assert {(r.doc_id, r.item_id) for r in found.collect()} == want and len(want) > 20
+
+
+def test_scattered_shingles_are_no_leak(spark):
+    """All shingles of an item, but far from each other."""
+    question = [f"q{i}" for i in range(40)]
+    item = " ".join(question) + ". the final answer is here."
+    filler = " ".join(f"f{i}" for i in range(400))
+    spread = f" {filler} ".join(" ".join(question[i : i + 6]) for i in range(0, 40, 2)) + " the final answer is here"
+    df = spark.createDataFrame([(1, spread), (2, f"{filler} {item} {filler}")], "doc_id long, text string")
+    found = decontam.find_leaks(df, spark.createDataFrame([(5, item)], "item_id long, text string"))
+    assert [r.doc_id for r in found.collect()] == [2]
+
+
+def test_chat_in_parts_of_any_order(spark):
+    """Conversations in many parts, whose rows come in another order, are read back whole; a missing part fails."""
+    rows = [(c, t, ["user", "assistant"][t % 2], "\\### </turn> text " * (t * 7 % 5) + f"{c}-{t}", "x") for c in range(5) for t in range(9)]
+    df = spark.createDataFrame(rows, "conv_id long, turn int, role string, text string, part string")
+    whole = {r.conv_id: tuple(r) for r in chat.read_back(chat.format_conversations(df)).collect()}
+    many = chat.format_conversations(df, part_chars=40)
+    assert many.groupBy("conv_id").count().where("count > 3").count() == 5
+    mixed = many.orderBy(many["part"].desc(), "conv_id")
+    assert {r.conv_id: tuple(r) for r in chat.read_back(mixed).collect()} == whole
+    with pytest.raises(Exception, match="instead of 1"):
+        chat.read_back(many.where("part != 1")).collect()
+
+
+def test_pipeline_stages_on_odd_and_empty_tables(spark, odd):
+    corpus_pipeline = pytest.importorskip("corpus_pipeline")
+    from pyspark.sql import functions as F
+
+    sf = "/root/testdata/sf0.001"
+    docs = odd.withColumns({"source": F.lit("s"), "n_chars": F.length("text").cast("long"), "place": F.lit(3), "k2": F.lit("z"), "item": F.lit(1.5)})
+    rows = docs.count()
+    want = {"language_id": {4, 5, 6, 7, 8, 9, 10, None}, "jaccard_join": {0, 1, 2, 3, 4, 5, 7, 8, 9, 10, None}}
+    for name, stage in corpus_pipeline.STAGES[:4]:
+        out = stage(spark, docs, sf)
+        assert out.columns == docs.columns
+        got = out.collect()
+        assert {r.doc_id for r in got} == want.get(name, set(range(11)) | {None})
+        assert all((r.place, r.k2, r.item) == (3, "z", 1.5) for r in got)
+        assert name not in ("suffix_array_dedup", "decontamination") or len(got) == rows
+        assert stage(spark, docs.where("false"), sf).count() == 0
+    name, stage = corpus_pipeline.STAGES[4]
+    assert stage(spark, docs, sf).count() == rows and stage(spark, docs.where("false"), sf).count() == 0
