@@ -23,9 +23,11 @@ def parser() -> argparse.ArgumentParser:
         p.add_argument("--delimiter", choices=["tab", "none"], default="tab")
         p.add_argument("--count", choices=["y", "n"], default="n", help="counts instead of presence")
         p.add_argument("--core", choices=["y", "n"], default="n", help="also list k-mers found in every accession")
+        p.add_argument("--row-format", choices=["standard", "single_tab"], default="standard", help="single_tab: no tab of its own after the k-mer")
+        p.add_argument("--on-missing", choices=["fail", "zero"], default="fail", help="an accession that was never counted")
+        p.add_argument("--bins", type=int, default=0, help="label of the output directory")
     merge.add_argument("--input", required=True)
-    merge.add_argument("--index")
-    merge.add_argument("--bins", type=int, default=0)
+    merge.add_argument("--index", help="this bin only")
     for p in (count, merge, whole):
         p.add_argument("--accessions", required=True)
         p.add_argument("--output", required=True)
@@ -47,16 +49,18 @@ def main(argv: list[str] | None = None) -> int:
     from strandlake.sources.accessions import read_accession_list
     from strandlake.sources.sequences import read_accessions
 
+    if a.command != "count":
+        settings = MatrixConfig(a.threshold, a.delimiter, a.count, a.core, a.bins, getattr(a, "index", None), a.row_format, a.on_missing)
     spark = SparkSession.builder.appName("strandlake").getOrCreate()
     if a.command == "run":
-        cfg = PipelineConfig(a.reads, a.accessions, a.output, CountConfig(k=a.k, num_bins=a.num_bins), MatrixConfig(a.threshold, a.delimiter, a.count, a.core))
+        cfg = PipelineConfig(a.reads, a.accessions, a.output, CountConfig(k=a.k, num_bins=a.num_bins), settings)
         print(json.dumps(pipeline.run(spark, cfg)))
         return 0
     names = read_accession_list(spark, a.accessions, verbatim=a.command == "merge")
     if a.command == "count":
         pipeline.count_stage(spark, read_accessions(spark, a.reads, names), names, CountConfig(k=a.k, num_bins=a.num_bins), a.output)
     else:
-        print(pipeline.merge_stage(spark, a.input, names, MatrixConfig(a.threshold, a.delimiter, a.count, a.core, a.bins, a.index), a.output))
+        print(pipeline.merge_stage(spark, a.input, names, settings, a.output))
     return 0
 
 

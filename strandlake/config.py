@@ -105,7 +105,7 @@ def estimate_bins(genome_size, depth, accessions: int, ram_gb, bytes_per_kmer: i
 
 
 def bytes_to_human(n: int) -> str:
-    """`10000` -> `9.8K`; below 1024 plain bytes."""
+    """`1536` -> `1.5K`; below 1024 plain bytes."""
     for power, unit in reversed(list(enumerate("KMGTPEZY", start=1))):
         if n >= 1024**power:
             return f"{n / 1024**power:.1f}{unit}"

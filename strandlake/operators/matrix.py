@@ -40,9 +40,8 @@ def indexed(counts: DataFrame, accessions: list[str]) -> DataFrame:
 
 
 def occurrences(long: DataFrame) -> DataFrame:
-    """(kmer, occ, cells): number of records (not of positive values) and the sparse row as a map."""
-    entries = F.collect_list(F.struct("acc_index", "cnt"))
-    return long.groupBy("kmer").agg(F.count(F.lit(1)).alias("occ"), F.map_from_entries(entries).alias("cells"))
+    """(kmer, occ, cells): number of records (not of positive values) and the sparse row in column order."""
+    return long.groupBy("kmer").agg(F.count(F.lit(1)).alias("occ"), F.array_sort(F.collect_list(F.struct("acc_index", "cnt"))).alias("cells"))
 
 
 def band(occ: Column | str, n: int, threshold: int) -> Column:
@@ -52,9 +51,16 @@ def band(occ: Column | str, n: int, threshold: int) -> Column:
 
 
 def dense_values(cells: Column, n: int, count: bool) -> Column:
+    """n values from cells(acc_index, cnt) in column order: zeros fill the gaps between them. Of repeated cells of a
+    column the one with the largest count stays."""
     zero = F.lit(0).cast("long")
-    value = lambda i: F.coalesce(F.try_element_at(cells, i), zero)
-    return F.transform(F.sequence(F.lit(0), F.lit(n - 1)), (lambda i: value(i)) if count else (lambda i: F.when(value(i) > 0, F.lit(1)).otherwise(F.lit(0)).cast("long")))
+    value = lambda c: c["cnt"] if count else F.when(c["cnt"] > 0, 1).otherwise(0).cast("long")
+    index = lambda i: F.coalesce(F.get(cells, i)["acc_index"], F.lit(-1))
+    # A repeat count below one gives no zeros.
+    own = lambda c, i: F.when(index(i + 1) != c["acc_index"], F.array(value(c))).otherwise(F.array().cast("array<bigint>"))
+    parts = F.transform(cells, lambda c, i: F.concat(F.array_repeat(zero, c["acc_index"] - index(i - 1) - 1), own(c, i)))
+    rest = F.array_repeat(zero, F.lit(n - 1) - F.coalesce(F.try_element_at(cells, F.lit(-1))["acc_index"], F.lit(-1)))
+    return F.concat(F.flatten(parts), rest)
 
 
 def matrix(counts: DataFrame, accessions: list[str], cfg: MatrixConfig = MatrixConfig()) -> DataFrame:
@@ -143,5 +149,5 @@ def hashed_matrix(counts: DataFrame, accessions: list[str], kmer_hash: Column) -
     n = len(accessions)
     long = indexed(counts, accessions).withColumn("hash", kmer_hash)
     cell = long.groupBy("hash", "acc_index").agg(F.max("cnt").alias("cnt"), F.count(F.lit(1)).alias("records"))
-    rows = cell.groupBy("hash").agg(F.sum("records").alias("occ"), F.map_from_entries(F.collect_list(F.struct("acc_index", "cnt"))).alias("cells"))
+    rows = cell.groupBy("hash").agg(F.sum("records").alias("occ"), F.array_sort(F.collect_list(F.struct("acc_index", "cnt"))).alias("cells"))
     return rows.select("hash", "occ", dense_values(F.col("cells"), n, True).alias("vals"))

@@ -31,6 +31,13 @@ def ref_index(records: DataFrame, k: int, invalid: str = "drop") -> DataFrame:
     return windows.select(kmer.alias("kmer"), "chromosome", position.alias("position"), "accession")
 
 
+def shifted_labels(records: DataFrame, number: str) -> DataFrame:
+    """records with the accession of the record that follows, as an index that renames the sequence before it is filed does;
+    the last one keeps its own. `number` counts records consecutively."""
+    following = records.select((F.col(number) - 1).alias(number), F.col("accession").alias("following"))
+    return records.join(following, number, "left").withColumn("accession", F.coalesce("following", "accession")).drop("following")
+
+
 def locate(kmers: DataFrame, index: DataFrame) -> DataFrame:
     """All positions of each k-mer (one to many)."""
     return kmers.join(index, "kmer")
@@ -56,9 +63,10 @@ def intervals(index: DataFrame, num_bins: int) -> DataFrame:
         F.transform(F.array_sort(F.collect_list(F.struct("position", "kmer"))), lambda x: x["kmer"]).alias("kmers"),
         F.sort_array(F.collect_set("accession")).alias("accessions"),
     )
-    # At most chromosomes x num_bins rows reach this global numbering.
-    number = F.row_number().over(Window.orderBy("chromosome", "bin")) - 1
-    return grouped.withColumn("interval", number)
+    # Numbered without their k-mers: at most chromosomes x num_bins narrow rows meet in one task.
+    places = with_intervals(index, num_bins).select("chromosome", "bin").distinct()
+    numbers = places.withColumn("interval", F.row_number().over(Window.orderBy("chromosome", "bin")) - 1)
+    return grouped.join(numbers, ["chromosome", "bin"])
 
 
 def interval_text(df: DataFrame) -> DataFrame:

@@ -23,20 +23,23 @@ log = logging.getLogger(__name__)
 
 def count_stage(spark: SparkSession, reads: DataFrame, accessions: list[str], cfg: CountConfig, output: str) -> None:
     """Counts of all accessions in one job, stored by bin, with a manifest of what was ingested (an
-    accession without any k-mer is still listed)."""
+    accession without any k-mer is still listed) and of the number of bins, of which some may be empty."""
     stored.write_parquet(with_bins(count_kmers(reads, cfg), cfg.num_bins), os.path.join(output, "counts"))
-    names = spark.createDataFrame([(a,) for a in dict.fromkeys(accessions)], "accession string")
+    names = spark.createDataFrame([(a, cfg.k, cfg.num_bins) for a in dict.fromkeys(accessions)], "accession string, k int, num_bins int")
     names.coalesce(1).write.mode("overwrite").parquet(os.path.join(output, "manifest"))
 
 
 def merge_stage(spark: SparkSession, store: str, accessions: list[str], cfg: MatrixConfig, output: str) -> str:
-    """Matrix (and core) of the stored counts. cfg.index: that bin only, by partition pruning.
+    """Matrix (and core) of the stored counts, in the bins of the store; cfg.bins is only the directory's label.
+    cfg.index: that bin only, by partition pruning; a bin without k-mers gives no file, one beyond the store's raises.
     on_missing: "fail" raises for an accession that was never counted, "zero" leaves its column zero."""
     manifest = spark.read.parquet(os.path.join(store, "manifest"))
     if cfg.on_missing == "fail":
         require_present(manifest, spark.createDataFrame([(a,) for a in accessions], "accession string"))
+    bins = manifest.agg(F.max("num_bins")).first()[0]
+    if cfg.index is not None and cfg.index >= bins:
+        raise ValueError(f"bin {cfg.index} of a store of {bins} bins")
     counts = stored.read_parquet(spark, os.path.join(store, "counts"), None if cfg.index is None else [cfg.index])
-    bins = spark.read.parquet(os.path.join(store, "counts")).select("bin").distinct().count() if not cfg.bins else cfg.bins
     rows = matrix_and_core(counts.select("accession", "kmer", F.col("cnt")), accessions, cfg)
     return write_matrix(rows.withColumn("bin", bin_id("kmer", bins)), output, len(accessions), cfg)
 

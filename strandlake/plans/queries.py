@@ -266,7 +266,7 @@ def matrix_one_bin(spark, sf_dir):
 
 @query("matrix_wide", f"WITH {sql_counts(9, 'lang')} SELECT kmer, " + ", ".join(f"coalesce(max(CASE WHEN accession = '{a}' THEN cnt END), 0) AS {a}" for a in ("de", "en", "es", "fr")) + " FROM counts GROUP BY kmer")
 def matrix_wide(spark, sf_dir):
-    return M.wide(counts_of(spark, sf_dir, 9, "lang"), ["de", "en", "es", "fr"])
+    return M.wide(counts_of(spark, sf_dir, 9, "lang"), accession_names(spark, sf_dir, "lang"))
 
 
 @query("matrix_sparse", f"WITH {sql_counts(51, 'source')}, a AS (SELECT accession, row_number() OVER (ORDER BY accession) - 1 AS i FROM (SELECT DISTINCT source AS accession FROM documents)) SELECT kmer, CAST(sum(cnt) AS BIGINT) AS total, string_agg(i || ':' || cnt, ',' ORDER BY i) AS row FROM counts JOIN a USING (accession) WHERE cnt <> 0 GROUP BY kmer")
@@ -328,6 +328,30 @@ def threshold_sweep(spark, sf_dir):
     return M.threshold_sweep(counts_of(spark, sf_dir, 9, "lang"), accession_names(spark, sf_dir, "lang"))
 
 
+# ---- shared files
+
+
+def shared_folder(spark: SparkSession) -> str:
+    """A fresh folder under spark.checkpoint.dir; a local one only where that is unset."""
+    root = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="strandlake-")
+    return os.path.join(root, f"strandlake-{uuid.uuid4().hex}")
+
+
+def local_path(uri: str) -> str:
+    """A file: URI as a path; other schemes as they are."""
+    return uri.removeprefix("file://").removeprefix("file:")
+
+
+def written(records: DataFrame, suffix: str) -> list[str]:
+    spark = records.sparkSession
+    folder = shared_folder(spark)
+    records.write.text(folder)
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    files = [local_path(s.getPath().toString()) for s in fs.listStatus(path) if s.getPath().getName().startswith("part-") and s.getLen() > 0]
+    return files
+
+
 # ---- reference-ordered bins
 
 
@@ -357,40 +381,65 @@ def ref_intervals(spark, sf_dir):
     return out.select(F.col("interval").cast("long").alias("interval"), "chromosome", F.col("bin").cast("long").alias("bin"), F.md5(F.concat_ws("", "kmers")).alias("kmers"), F.concat_ws(",", "accessions").alias("accessions"))
 
 
-# ---- formats
+@query("kmer_positions", f"""SELECT kmer, count(*) AS positions, CAST(sum(position) AS BIGINT) AS position_sum, count(DISTINCT chromosome) AS chromosomes
+    FROM (WITH {sql_index(51)} SELECT * FROM idx) JOIN ({SOME_KMERS} SELECT kmer FROM picked) USING (kmer) GROUP BY kmer""")
+def kmer_positions(spark, sf_dir):
+    """Where the counted k-mers lie: one k-mer, many positions."""
+    places = R.locate(some_kmers(spark, sf_dir), R.ref_index(reference_records(spark, sf_dir), 51))
+    return places.groupBy("kmer").agg(F.count(F.lit(1)).alias("positions"), F.sum("position").alias("position_sum"), F.countDistinct("chromosome").alias("chromosomes"))
 
 
-def shared_folder(spark: SparkSession) -> str:
-    """A fresh folder under spark.checkpoint.dir; a local one only where that is unset."""
-    root = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="strandlake-")
-    return os.path.join(root, f"strandlake-{uuid.uuid4().hex}")
+@query("ref_index_shifted", f"WITH {sql_index(51)}, named AS (SELECT 'doc' || r.doc_id AS chromosome, coalesce(n.source, r.source) AS label FROM documents r LEFT JOIN documents n ON n.doc_id = r.doc_id + 1) SELECT label AS accession, count(*) AS positions FROM idx JOIN named USING (chromosome) GROUP BY label")
+def ref_index_shifted(spark, sf_dir):
+    """Positions by label where each sequence is filed under the label of the one that follows it."""
+    reads = document_reads(spark, sf_dir)
+    records = R.shifted_labels(reads, "read_id").select(F.concat(F.lit("doc"), F.col("read_id").cast("string")).alias("chromosome"), "accession", "seq")
+    return R.ref_index(records, 51).groupBy("accession").agg(F.count(F.lit(1)).alias("positions"))
 
 
-def written(records: DataFrame, suffix: str) -> list[str]:
-    spark = records.sparkSession
+@query("imported_dumps", f"WITH {sql_counts(51, 'source')}, b AS (SELECT accession, kmer, cnt, CAST(list_reduce(list_prepend(0::BIGINT, list_transform(range(1, 9), lambda i: ascii(substr(kmer, i, 1))::BIGINT)), lambda h, c: h * 131 + c) % 50 AS INTEGER) AS bin FROM counts) SELECT accession, bin, count(*) AS kmers, CAST(sum(cnt) AS BIGINT) AS total FROM b GROUP BY ALL")
+def imported_dumps(spark, sf_dir):
+    """Counts written as text dumps, one an accession, and imported again."""
+    counts = counts_of(spark, sf_dir)
     folder = shared_folder(spark)
-    records.write.text(folder)
+    lines = counts.select("accession", F.concat_ws("\t", "kmer", F.col("cnt").cast("string")).alias("value"))
+    lines.repartition("accession").write.partitionBy("accession").text(folder)
     path = spark._jvm.org.apache.hadoop.fs.Path(folder)
     fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    files = [s.getPath().toUri().getPath() for s in fs.listStatus(path) if s.getPath().getName().startswith("part-") and s.getLen() > 0]
-    return files
+    dumps = {}
+    for place in fs.listStatus(path):
+        name = place.getPath().getName()
+        if name.startswith("accession="):
+            # One file an accession, named after it, as dumps are told apart by their file names.
+            part = next(f.getPath() for f in fs.listStatus(place.getPath()) if f.getPath().getName().startswith("part-"))
+            to = spark._jvm.org.apache.hadoop.fs.Path(path, f"{name[10:]}.txt")
+            fs.rename(part, to)
+            dumps[name[10:]] = to.toString()
+    found = stored.import_counts(spark, list(dumps.values()), list(dumps))
+    return found.groupBy("accession", "bin").agg(F.count(F.lit(1)).alias("kmers"), F.sum("cnt").alias("total"))
+
+
+# ---- formats
+
+
+SEQUENCE = f"coalesce(regexp_replace(translate(text, '{LETTERS}', '{MAPPED}'), '[^ACGT]', 'N', 'g'), '')"
 
 
-@query("fastq_scan", f"SELECT doc_id AS read_id, length(text) AS bases, md5(regexp_replace(translate(text, '{LETTERS}', '{MAPPED}'), '[^ACGT]', 'N', 'g')) AS seq FROM documents")
+@query("fastq_scan", f"SELECT doc_id AS read_id, length({SEQUENCE}) AS bases, md5({SEQUENCE}) AS seq FROM documents")
 def fastq_scan(spark, sf_dir):
-    """Reads written as FASTQ and scanned again; the id is carried in the first bases of each record's sequence."""
+    """Reads written as FASTQ and scanned again; a null text is an empty sequence."""
     reads = document_reads(spark, sf_dir)
-    record = F.concat(F.lit("@r\n"), F.col("read_id").cast("string"), F.lit(":"), "seq", F.lit("\n+\n"), F.lit("I"))
+    seq = F.coalesce("seq", F.lit(""))
+    record = F.concat(F.lit("@r"), F.col("read_id").cast("string"), F.lit(" a description\n"), seq, F.lit("\n+\n"), F.translate(seq, "ACGTN", "IIIII"))
     scanned = read_fastq(spark, written(reads.select(record.alias("value")), "fq"))
-    parts = scanned.select(F.substring_index("seq", ":", 1).cast("long").alias("read_id"), F.substring_index("seq", ":", -1).alias("s"))
-    return parts.select("read_id", F.length("s").cast("long").alias("bases"), F.md5("s").alias("seq"))
+    return scanned.select(F.substring("name", 2, 20).cast("long").alias("read_id"), F.length("seq").cast("long").alias("bases"), F.md5("seq").alias("seq"))
 
 
-@query("fasta_scan", f"SELECT 'doc' || doc_id AS name, length(text) AS bases, md5(regexp_replace(translate(text, '{LETTERS}', '{MAPPED}'), '[^ACGT]', 'N', 'g')) AS seq FROM documents")
+@query("fasta_scan", f"SELECT 'doc' || doc_id AS name, length({SEQUENCE}) AS bases, md5({SEQUENCE}) AS seq FROM documents")
 def fasta_scan(spark, sf_dir):
     """Reads written as wrapped FASTA and scanned again."""
     reads = document_reads(spark, sf_dir)
-    wrapped = F.regexp_replace("seq", "(.{70})", "$1\n")
+    wrapped = F.regexp_replace(F.coalesce("seq", F.lit("")), "(.{70})", "$1\n")
     record = F.concat(F.lit(">doc"), F.col("read_id").cast("string"), F.lit(" a description\n"), wrapped)
     scanned = read_fasta(spark, written(reads.select(record.alias("value")), "fa"))
     return scanned.select("name", F.length("seq").cast("long").alias("bases"), F.md5("seq").alias("seq"))

@@ -25,6 +25,8 @@ MATE_SUFFIXES = (".fq", ".fastq", ".fq.gz", ".fastq.gz")
 
 SPLIT_BYTES = 128 << 20
 PROBE_LINES = 8
+#: Files whose names are broadcast; more are joined by a shuffle.
+BROADCAST_FILES = 100_000
 
 
 def open_bytes(path: str):
@@ -65,6 +67,10 @@ def lines_of(path: str, permissive: bool = False) -> Iterator[bytes]:
                 raise
 
 
+def record_name(header: bytes) -> str:
+    return header[1:].decode("latin-1").split(" ", 1)[0].strip()
+
+
 @dataclass
 class Slice(InputPartition):
     path: str
@@ -119,15 +125,17 @@ class FastqReader(_Reader):
         if partition.end is not None:
             yield from self._slice(partition)
             return
-        seen = False
+        seen, name = False, ""
         for i, line in enumerate(lines_of(path, self.permissive)):
             seen = True
             if i == 0 and line[:1] not in (b"@", b">"):
                 raise ValueError(f"{path} is neither FASTQ nor FASTA: its first line begins with {line[:1]!r}")
             if i == 0 and line[:1] == b">" and not self.permissive:
                 raise ValueError(f"{path} is FASTA; read it with format('fasta'), or mode=PERMISSIVE to take every second line of four")
-            if i % 4 == 1:
-                yield path, i // 4, self._cut(line)
+            if i % 4 == 0:
+                name = record_name(line)
+            elif i % 4 == 1:
+                yield path, i // 4, name, self._cut(line)
         if not seen:
             raise ValueError(f"{path} is empty")
 
@@ -149,18 +157,19 @@ class FastqReader(_Reader):
                     return
                 stream.readline()
                 stream.readline()
-                yield part.path, begin, self._cut(seq.rstrip(b"\n"))
+                yield part.path, begin, record_name(header.rstrip(b"\n")), self._cut(seq.rstrip(b"\n"))
 
 
 class FastqSource(DataSource):
-    """(path, read_id, seq). read_id: the record's number in its file, or its byte offset in a split file."""
+    """(path, read_id, name, seq). read_id: the record's number in its file, or its byte offset in a split file; name: its
+    header up to the first space."""
 
     @classmethod
     def name(cls):
         return "fastq"
 
     def schema(self):
-        return "path string, read_id bigint, seq string"
+        return "path string, read_id bigint, name string, seq string"
 
     def reader(self, schema):
         return FastqReader(self.options)
@@ -177,7 +186,7 @@ class FastaReader(_Reader):
                 if name is not None:
                     yield self._record(partition.path, number, name, parts)
                     number += 1
-                name, parts = line[1:].decode("latin-1").split(" ", 1)[0].strip(), []
+                name, parts = record_name(line), []
             elif line.strip():
                 if name is None:
                     name = ""
@@ -235,5 +244,6 @@ def mates(directory: str, accession: str) -> tuple[str, str]:
 def read_accessions(spark: SparkSession, directory: str, accessions: list[str], **options) -> DataFrame:
     """reads(accession, mate, read_id, seq) of both mates of every accession, in one scan."""
     where = [(path, acc, mate) for acc in dict.fromkeys(accessions) for mate, path in enumerate(mates(directory, acc), start=1)]
-    names = F.broadcast(spark.createDataFrame(where, "path string, accession string, mate int"))
+    names = spark.createDataFrame(where, "path string, accession string, mate int")
+    names = F.broadcast(names) if len(where) <= BROADCAST_FILES else names
     return read_fastq(spark, [p for p, _, _ in where], **options).join(names, "path").select("accession", "mate", "read_id", "seq")

@@ -8,9 +8,9 @@ from pyspark.sql import functions as F
 
 from strandlake.config import CountConfig, MatrixConfig, bytes_to_human, estimate_bins, parse_index
 from strandlake.functions import kmers as K
-from strandlake.operators.counting import count_kmers
+from strandlake.operators.counting import canonical_windows, count_kmers
 from strandlake.operators.matrix import core, matrix, require_present, row_text
-from strandlake.operators.refbins import intervals, interval_text, ref_index
+from strandlake.operators.refbins import intervals, interval_text, ref_index, shifted_labels
 
 U = "ACGGTCATTGCAAGCTTAGCACGGTCATTGCAAGCTTAGCACGGTCATTGC"
 
@@ -109,7 +109,7 @@ def test_validation(spark):
         require_present(names.where("accession = 'a'"), names)
     assert estimate_bins(10**9, 30, 10, 370) == {"ram_gb": 10**9 * 30 * 10 * 8 / 1024**3, "bins": 7}
     assert estimate_bins(None, 30, 10, 370) is None
-    assert [bytes_to_human(x) for x in (10000, 100001221, 12)] == ["9.8K", "95.4M", "12B"]
+    assert [bytes_to_human(x) for x in (1536, 5 << 20, 12)] == ["1.5K", "5.0M", "12B"]
 
 
 def test_reference_intervals(spark):
@@ -121,3 +121,32 @@ def test_reference_intervals(spark):
     assert [(r.start, r.end, len(r.kmers)) for r in out] == [(0, 3, 3), (3, 6, 3), (6, 9, 3), (9, 12, 3)]
     text = interval_text(intervals(index, 4)).where("interval = 0").first().content
     assert text.startswith("Chromosome: c1\nStart: 0\nEnd: 3\nAccessions: x \n\nK-mers:\n")
+
+
+def test_windows_of_long_reads(spark):
+    """Pieces of a long read give each window once, at every length around the piece's."""
+    rng = random.Random(4)
+    for n in (51, 52, 50 + K.STRIDE, 51 + K.STRIDE, 3 * K.STRIDE + 77, 40_000):
+        seq = "".join(rng.choices("ACGT", k=n))
+        got = Counter(r.kmer for r in canonical_windows(spark.createDataFrame([("a", seq)], "accession string, seq string"), 51).collect())
+        both = ((seq[i : i + 51], seq[i : i + 51][::-1].translate(str.maketrans("ACGT", "TGCA"))) for i in range(n - 50))
+        assert got == Counter(min(x) for x in both)
+
+
+def test_strands_are_made_once_a_piece(spark):
+    """The reverse complement lies below the generator of windows in the plan."""
+    plan = canonical_windows(spark.createDataFrame([("a", "ACGT" * 30)], "accession string, seq string"), 51)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("Generate explode(sequence(1") < plan.index("reverse(translate")
+
+
+def test_repeated_cells_and_gaps(spark):
+    rows = [("K", "b", 5), ("K", "b", 2), ("K", "d", 1), ("L", "a", 0)]
+    counts = spark.createDataFrame(rows, "kmer string, accession string, cnt bigint")
+    got = {r.kmer: (r.occ, r.vals) for r in matrix(counts, list("abcde"), MatrixConfig(count="y")).collect()}
+    assert got == {"K": (3, [0, 5, 0, 1, 0]), "L": (1, [0, 0, 0, 0, 0])}
+
+
+def test_shifted_labels_and_invalid_windows(spark):
+    records = spark.createDataFrame([(1, "c1", "x", "ACGTA"), (2, "c2", "y", "AC"), (3, "c3", "z", "ANGTA")], "n int, chromosome string, accession string, seq string")
+    got = sorted(tuple(r) for r in ref_index(shifted_labels(records, "n"), 3, "poly_a").collect())
+    assert got == sorted([("ACG", "c1", 0, "y"), ("ACG", "c1", 1, "y"), ("GTA", "c1", 2, "y"), ("AAA", "c3", 0, "z"), ("AAA", "c3", 1, "z"), ("GTA", "c3", 2, "z")])

@@ -3,15 +3,18 @@
 import gzip
 import io
 import os
+import subprocess
+import sys
 import tarfile
 
 import pytest
 
 from strandlake.config import CountConfig, MatrixConfig, PipelineConfig
 from strandlake.operators.counting import count_kmers, with_bins
-from strandlake.plans.pipeline import run
+from strandlake.plans.pipeline import count_stage, merge_stage, run
 from strandlake.sources import counts as stored
 from strandlake.sources.accessions import read_accession_list
+from strandlake.sources.sinks import committed, write_matrix
 from strandlake.sources.sequences import mates, read_accessions, read_fasta, read_fastq
 from strandlake.streaming.ingest import append_counts, stream_reads
 
@@ -110,3 +113,80 @@ def test_streamed_counts(spark, tmp_path):
     append_counts(stream_reads(spark, str(tmp_path / "in")), CountConfig(k=5, num_bins=2), str(tmp_path / "t"), str(tmp_path / "cp")).awaitTermination()
     direct = count_kmers(spark.createDataFrame([("a", s) for s in SEQS], "accession string, seq string"), CountConfig(k=5))
     assert {(r.kmer, r.cnt) for r in spark.read.parquet(str(tmp_path / "t")).collect()} == {(r.kmer, r.cnt) for r in direct.collect()}
+
+
+def test_merge_uses_the_bins_of_the_store(spark, tmp_path):
+    """Most bins of the store are empty: files carry the store's bin numbers, whatever the label says."""
+    reads = spark.createDataFrame([("a", "ACGGTCATTGCAAGC"), ("b", "GGGTTTACGAACG")] * 2, "accession string, seq string")
+    cfg = CountConfig(k=5, num_bins=1500)
+    count_stage(spark, reads, ["a", "b"], cfg, str(tmp_path))
+    bins = {r.kmer: r.bin for r in stored.read_parquet(spark, str(tmp_path / "counts")).collect()}
+    assert 1 < len(set(bins.values())) < 1500
+    one = next(iter(bins.values()))
+    target = merge_stage(spark, str(tmp_path), ["a", "b"], MatrixConfig(index=one, bins=7, count="y", core="y"), str(tmp_path / "one"))
+    assert os.path.basename(target).startswith("matrix_acc2_bins7_")
+    assert [f for f in sorted(os.listdir(target)) if f.endswith(".gz")] == [f"{one}_matrix.tsv.gz"]
+    with gzip.open(os.path.join(target, f"{one}_matrix.tsv.gz"), "rt") as f:
+        assert {line.split("\t")[0] for line in f} == {m for m, b in bins.items() if b == one}
+    whole = merge_stage(spark, str(tmp_path), ["a", "b"], MatrixConfig(), str(tmp_path / "all"))
+    assert {int(f.split("_")[0]) for f in os.listdir(whole) if f.endswith("_matrix.tsv.gz")} == set(bins.values())
+    empty = next(i for i in range(1500) if i not in bins.values())
+    assert not [f for f in os.listdir(merge_stage(spark, str(tmp_path), ["a", "b"], MatrixConfig(index=empty), str(tmp_path / "none"))) if f.endswith(".gz")]
+    with pytest.raises(ValueError, match="1500 bins"):
+        merge_stage(spark, str(tmp_path), ["a", "b"], MatrixConfig(index=1500), str(tmp_path / "bad"))
+
+
+def test_parts_of_a_bin_are_joined(spark, tmp_path):
+    """A bound on the records of a file makes several parts of a bin; one file is left, with every row."""
+    rows = spark.createDataFrame([(3, f"K{i}", [1], True, True) for i in range(25)], "bin int, kmer string, vals array<bigint>, in_core boolean, in_matrix boolean")
+    spark.conf.set("spark.sql.files.maxRecordsPerFile", "10")
+    try:
+        target = write_matrix(rows, str(tmp_path), 1, MatrixConfig(core="y"))
+    finally:
+        spark.conf.unset("spark.sql.files.maxRecordsPerFile")
+    assert sorted(f for f in os.listdir(target) if not f.startswith(".")) == ["3_core.txt.gz", "3_matrix.tsv.gz"]
+    with gzip.open(os.path.join(target, "3_core.txt.gz"), "rt") as f:
+        assert sorted(f.read().split()) == sorted(f"K{i}" for i in range(25))
+
+
+def test_fastq_names(spark, tmp_path):
+    path = tmp_path / "n.fq"
+    path.write_bytes(b"@first one\nACGT\n+\nIIII\n@second\n\n+\n\n")
+    assert sorted((r.name, r.seq) for r in read_fastq(spark, [str(path)]).collect()) == [("first", "ACGT"), ("second", "")]
+    assert sorted((r.name, r.seq) for r in read_fastq(spark, [str(path)], splitBytes=10).collect()) == [("first", "ACGT"), ("second", "")]
+
+
+def test_imported_dumps(spark, tmp_path):
+    for name in ("x", "y"):
+        (tmp_path / f"{name}.txt").write_text("ACGTACGTA\t7\nCCCCCCCCC\t65537\n")
+    dumps = [str(tmp_path / "y.txt"), str(tmp_path / "x.txt")]
+    found = stored.import_counts(spark, dumps, ["b", "a"])
+    want = {("ACGTACGTA", 7), ("CCCCCCCCC", 1)}
+    assert {(r.accession, r.kmer, r.cnt) for r in found.collect()} == {(a, *w) for a in "ab" for w in want}
+    assert [tuple(r) for r in stored.dump_info(found).orderBy("accession").collect()] == [("a", 9, 2, 1, 7), ("b", 9, 2, 1, 7)]
+    with pytest.raises(ValueError, match="2 dumps for 1"):
+        stored.import_counts(spark, dumps, ["a"])
+
+
+def test_vectors(spark, tmp_path):
+    for kind, values in (("<u4", [0, 1, 2**32 - 1]), ("<u8", [2**64 - 1, 5]), ("<f8", [0.5, -2.0])):
+        path = tmp_path / kind[1:]
+        stored.write_vector(str(path), values, kind)
+        assert [r.value for r in stored.read_vector(spark, str(path), kind).orderBy("place").collect()] == values
+    (tmp_path / "odd").write_bytes(b"12345")
+    with pytest.raises(Exception, match="ends within a value"):
+        stored.read_vector(spark, str(tmp_path / "odd"), "<u4").collect()
+
+
+def test_a_failed_writer_leaves_nothing(tmp_path):
+    with pytest.raises(RuntimeError), committed(str(tmp_path / "f")) as out:
+        out.write(b"half")
+        raise RuntimeError
+    assert os.listdir(tmp_path) == []
+
+
+def test_core_queries_without_what_llm_needs():
+    """A missing dependency of the training-data operators leaves the other queries."""
+    code = "import sys; sys.modules['public_tokenizers'] = None; import __spark_entry__ as e; q = e.queries(); assert 'kmer_counts' in q and 'op1_bpe' not in q and 'pipeline' not in q"
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    assert subprocess.run([sys.executable, "-c", code], cwd=root).returncode == 0
