@@ -12,15 +12,18 @@ from functools import lru_cache, partial
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+import zstandard
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from strandlake.llm.chars import Words, blocks, tables
+from strandlake.llm.settle import settle
 
 #: Words of a passage; sizes of the learned layer and of the attention.
 PASSAGE, HIDDEN, ATTENTION = 64, 24, 12
-#: Labelled documents the model is fitted on, with all their passages.
-TRAIN_DOCS = 4000
+#: Labelled documents the model is fitted on, at most, and the passages that all of them may have together (2 kB each on the
+#: driver). Documents count whole, with all their passages, or not at all.
+TRAIN_DOCS, TRAIN_PASSAGES = 4000, 100_000
 EPOCHS, BATCH, RATE = 25, 64, 0.01
 THRESHOLD = 0.3
 # Characters with a shape class of their own.
@@ -138,31 +141,40 @@ class Model:
 
 
 def _bags(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    pack = zstandard.ZstdCompressor(1)
     for batch in batches:
-        out = []
-        for _, texts in blocks([t or "" for t in batch.column(1).to_pylist()]):
+        out, sizes = [], []
+        for _, texts in blocks([t or "" for t in batch.column(2).to_pylist()]):
             x, bounds = encode(texts)
             for a, b in zip(bounds, bounds[1:], strict=False):
-                out.append(x[a:b].astype("<f4").tobytes())
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.binary())], ["label", "bag"])
+                out.append(pack.compress(x[a:b].astype("<f4").tobytes()))
+                sizes.append(b - a)
+        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(sizes, pa.int64()), pa.array(out, pa.binary())], ["place", "label", "size", "bag"])
 
 
 def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality") -> Model | None:
-    """Model fitted on the TRAIN_DOCS labelled rows whose ids hash lowest; none without a labelled row.
+    """Model fitted on labelled rows in the order of their ids' hashes: TRAIN_DOCS of them, but for those whose passages no longer
+    fit into TRAIN_PASSAGES; none without a labelled row.
 
-    labels(id_col, label_col): rows with a null id or label are left out. The sample's ids, at most TRAIN_DOCS, are broadcast;
-    its texts (of documents with equal ids the least text) come to the driver as encoded passages, 2 kB each.
+    labels(id_col, label_col): rows with a null id or label are left out, repeated ones count once. Of documents with equal
+    ids the least text counts. The sample's ids, at most TRAIN_DOCS, are broadcast; its passages come to the driver encoded.
     """
     rows = labels.select(F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("label")).where("id is not null and label is not null")
-    chosen = rows.orderBy(F.xxhash64("id"), "id", "label").limit(TRAIN_DOCS)
+    chosen = rows.distinct().orderBy(F.xxhash64("id"), "id", "label").limit(TRAIN_DOCS)
+    placed = chosen.withColumn("place", F.row_number().over(Window.orderBy(F.xxhash64("id"), "id", "label")))  # of at most TRAIN_DOCS rows
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    sample = texts.join(F.broadcast(chosen.distinct()), "id").groupBy("id", "label").agg(F.min("text").alias("text"))
-    bags = sample.select("label", "text").mapInArrow(_bags, "label int, bag binary").collect()
-    if not bags:
+    sample = texts.join(F.broadcast(placed), "id").groupBy("place", "label").agg(F.min("text").alias("text"))
+    bags = settle(sample.mapInArrow(_bags, "place int, label int, size bigint, bag binary"), "bags")
+    fit, total = [], 0
+    for r in sorted(bags.select("place", "size").collect()):
+        if total + r.size <= TRAIN_PASSAGES:
+            fit.append(r.place)
+            total += r.size
+    if not fit:
         return None
-    bags.sort(key=lambda r: (r.label, bytes(r.bag)))  # the fit depends on the rows, not on their order
-    x = [np.frombuffer(r.bag, "<f4").reshape(-1, FEATURES) for r in bags]
-    return Model().fit(x, np.array([float(r.label) for r in bags]))
+    unpack = zstandard.ZstdDecompressor()
+    held = sorted(((r.label, unpack.decompress(r.bag)) for r in bags.where(F.col("place").isin(fit)).select("label", "bag").collect()))  # the fit depends on the rows, not on their order
+    return Model().fit([np.frombuffer(bag, "<f4").reshape(-1, FEATURES) for _, bag in held], np.array([float(label) for label, _ in held]))
 
 
 def _score(batches: Iterator[pa.RecordBatch], weights: dict[str, np.ndarray] | None, threshold: float) -> Iterator[pa.RecordBatch]:
