@@ -249,3 +249,90 @@ def test_lm_scores(spark, odd, none, order, block):
     for i, (n, log) in enumerate(brute_scores(texts, order)):
         assert got[i].n_words == n and math.isclose(got[i].log_score, log, rel_tol=1e-9, abs_tol=1e-9)
     assert lmscore.score(none).count() == 0 and lmscore.score(odd).count() == odd.count()
+
+
+def test_quality_forward_by_loops_and_whole_sample(spark, monkeypatch):
+    """Attention over a bag as plain sums; documents count whole or not at all, repeated ids once."""
+    texts = ["one two three. " * 60, "BUY NOW!!! " * 40, "", "x"]
+    x, bounds = quality.encode(texts)
+    model = quality.Model()
+    got = model.forward(x.astype(float), bounds[:-1], np.repeat(np.arange(len(texts)), np.diff(bounds)))["p"]
+    w = model.w
+    for i, (a, b) in enumerate(zip(bounds, bounds[1:], strict=False)):
+        passages = [np.tanh(x[j].astype(float) @ w["e"]) for j in range(a, b)]
+        raw = [float((np.tanh(h @ w["v"]) / (1 + np.exp(-(h @ w["u"])))) @ w["a"]) for h in passages]
+        share = [math.exp(r) / sum(map(math.exp, raw)) for r in raw]
+        z = sum(s * h for s, h in zip(share, passages, strict=True))
+        assert math.isclose(got[i], 1 / (1 + math.exp(-float(z @ w["c"] + w["b"][0]))), rel_tol=1e-9)
+    held = []
+    monkeypatch.setattr(quality.Model, "fit", lambda self, bags, labels: held.append((bags, labels)) or self)
+    rows = [(1, "word " * 640), (2, "word " * 64), (2, "other " * 64), (3, "few words"), (4, "no label")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(1, 1), (2, 0), (2, 0), (3, 1), (9, 1), (None, 1)], "doc_id long, quality int")
+    quality.learn(docs, labels)
+    assert sorted(map(len, held[0][0])) == [1, 1, 10] and sorted(held[0][1]) == [0, 1, 1]
+    monkeypatch.setattr(quality, "TRAIN_PASSAGES", 5)
+    quality.learn(docs, labels)
+    assert sorted(map(len, held[1][0])) == [1, 1]
+
+
+@pytest.mark.parametrize("seed", range(25))
+def test_licence_dice_by_brute_force(seed):
+    """Best Dice over every window that starts with a bigram of the template, by sets."""
+    rng = random.Random(seed)
+    words = [f"w{i}" for i in range(12 + seed)]
+    templates = {f"T{i}": [" ".join(rng.choices(words, k=rng.randrange(4, 14))) for _ in range(2)] for i in range(4)}
+    threshold = rng.choice([0.5, 0.7, 0.8])
+    scanner = licenses.Scanner(templates, threshold)
+    texts = []
+    for _ in range(30):
+        t = rng.choices(words, k=rng.randrange(0, 40))
+        if rng.random() < 0.7:
+            mine = rng.choice(rng.choice(list(templates.values()))).split()
+            if rng.random() < 0.5:
+                mine[rng.randrange(len(mine))] = rng.choice(words)
+            at = rng.randrange(len(t) + 1)
+            t[at:at] = mine
+        texts.append(" ".join(t))
+
+    def pairs(text):
+        w = WORD.findall(text.lower())
+        return list(zip(w, w[1:], strict=False))
+
+    for text, found in zip(texts, scanner.scan(texts), strict=True):
+        mine, best = pairs(text), {}
+        for name, several in templates.items():
+            for template in several:
+                t = pairs(template)
+                for a in range(len(mine)):
+                    if mine[a] in t:
+                        window = set(mine[a : a + len(t)])
+                        best[name] = max(best.get(name, 0), 2 * len(window & set(t)) / (len(window) + len(set(t))))
+        top = max(best.values(), default=0)
+        assert (top >= threshold - 1e-9) == bool(found)
+        if found:
+            assert math.isclose(max(found.values()), top) and all(best[n] >= d - 1e-9 for n, d in found.items())
+
+
+def test_media_features_by_loops():
+    """Hash and tile of stored images from fractional areas summed pixel by pixel."""
+
+    def mean(grey, y0, y1, x0, x1):
+        total = 0.0
+        for y in range(int(y0), math.ceil(y1 - 1e-9)):
+            for x in range(int(x0), math.ceil(x1 - 1e-9)):
+                total += grey[y][x] * (min(y + 1, y1) - max(y, y0)) * (min(x + 1, x1) - max(x, x0))
+        return total / ((y1 - y0) * (x1 - x0))
+
+    for text in ("a" * 10, "The quick brown fox jumps over the lazy dog. " * 5, "äöü漢字" * 40):
+        data, n = media.store(text)
+        image = media.decode(data)
+        raw = text.encode().ljust(-(-len(text.encode()) // 64) * 64, b"\0")
+        assert image.tobytes() == raw and n == len(text.encode())
+        grey = [[p if image.ndim == 2 else 0.299 * p[0] + 0.587 * p[1] + 0.114 * p[2] for p in row] for row in image.tolist()]
+        h, w = len(grey), len(grey[0])
+        cells = lambda rows, cols: [[mean(grey, y * h / rows, (y + 1) * h / rows, x * w / cols, (x + 1) * w / cols) for x in range(cols)] for y in range(rows)]
+        bits = "".join("1" if round(a, 6) < round(b, 6) else "0" for row in cells(8, 9) for a, b in zip(row, row[1:], strict=False))
+        assert media.difference_hash(image) == f"{int(bits, 2):016x}"
+        tile = np.load(io.BytesIO(media.tile(image)))
+        assert np.abs(tile - np.array(cells(32, 32))).max() <= 0.5 + 1e-6
