@@ -29,8 +29,9 @@ from strandlake.llm.chars import mix
 from strandlake.llm.settle import settle
 from strandlake.llm.suffixes import deep_shallow, lcp, nodes
 
-#: Bytes of the repeated strings, and of an anchor.
-LENGTH, ANCHOR = 400, 32
+#: Bytes of the repeated strings, and of an anchor; shorter repeats that op10's query reports without removing them (a passage of
+#: 50 words has about 300 bytes).
+LENGTH, ANCHOR, REPORTED = 400, 32, 256
 #: Bytes a task scans at once (or one longer document).
 BLOCK_BYTES = 1_000_000
 #: Contexts of one anchor that are sorted in memory together; larger groups are split by content.
@@ -71,13 +72,13 @@ def contexts(data: bytes, first: int, end: int, at: int, length: int) -> tuple[i
     return max(first, at - length + ANCHOR), min(end, at + length)
 
 
-def _anchors(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.RecordBatch]:
+def _anchors(batches: Iterator[pa.RecordBatch], length: int, least: int) -> Iterator[pa.RecordBatch]:
     digest = xxhash.xxh3_64_intdigest
 
     def scan(held: list[tuple[int, int, bytes]]):
         data = b"".join(t for _, _, t in held)
         ends = np.cumsum([len(t) for _, _, t in held])
-        at, h = anchor_positions(np.frombuffer(data, np.uint8), ends, length)
+        at, h = anchor_positions(np.frombuffer(data, np.uint8), ends, least)
         doc = np.searchsorted(ends, at, side="right")
         begin = np.concatenate([[0], ends[:-1]])
         view = memoryview(data)
@@ -93,7 +94,7 @@ def _anchors(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.Reco
     for batch in batches:
         held, size = [], 0
         for row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-            if len(row[2]) < length:
+            if len(row[2]) < least:
                 continue
             if held and size + len(row[2]) > BLOCK_BYTES:
                 yield from scan(held)
@@ -126,25 +127,26 @@ def _fetch(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.Record
         yield batch(rows)
 
 
-def repeated_starts(lefts: list[bytes], rights: list[bytes], length: int, wanted: list[bool] | None = None) -> list[tuple[int, int, int]]:
-    """(index, least, most): strings of `length` that start `least` to `most` bytes left of anchor `index`
-    and occur at another of these anchors too."""
+def repeated_starts(lefts: list[bytes], rights: list[bytes], length: int, wanted: list[bool] | None = None, least: int | None = None) -> list[tuple[int, int, int]]:
+    """(index, nearest, most): strings of `length` that start `nearest` to `most` bytes left of anchor `index`
+    and occur at another of these anchors too. With `least`, repeats of that many bytes and more but below `length` come
+    as well, in the same terms, so that `nearest` is above `most`."""
+    least = length if least is None else least
     order = deep_shallow(rights)
     heights = [lcp(rights[a], rights[b]) for a, b in zip(order, order[1:], strict=False)]
     rank = [0] * len(lefts)
     for place, i in enumerate(deep_shallow(lefts)):
         rank[i] = place
     out = []
-    for right, first, last in nodes(heights, length - max(map(len, lefts))):
+    for right, first, last in nodes(heights, least - max(map(len, lefts))):
         members = order[first : last + 1]
         if wanted and not any(wanted[i] for i in members):
             continue
         members = sorted(members, key=rank.__getitem__)
         between = [lcp(lefts[a], lefts[b]) for a, b in zip(members, members[1:], strict=False)]
-        least = max(0, length - right)
         for i, left in zip(members, map(max, [0, *between], [*between, 0]), strict=True):
-            if left >= least and (not wanted or wanted[i]):
-                out.append((i, least, left))
+            if left + right >= least and (not wanted or wanted[i]):
+                out.append((i, length - right, left))
     return out
 
 
@@ -156,7 +158,7 @@ def _range_batch(rows: list[tuple]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], ["k1", "k2", "lo", "hi"])
 
 
-def _sort(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.RecordBatch]:
+def _sort(batches: Iterator[pa.RecordBatch], length: int, least: int) -> Iterator[pa.RecordBatch]:
     """Ranges of repeated starts; rows come grouped by anchor."""
     held: list[tuple] = []
     out: list[tuple] = []
@@ -164,9 +166,9 @@ def _sort(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.RecordB
     def solve():
         if len(held) > 1:
             singles = [r[1] for r in held]
-            for i, least, most in repeated_starts([r[5] for r in held], [r[6] for r in held], length, singles):
+            for i, nearest, most in repeated_starts([r[5] for r in held], [r[6] for r in held], length, singles, least):
                 _, _, k1, k2, at, _, _ = held[i]
-                out.append((k1, k2, at - most, at - least))
+                out.append((k1, k2, at - most, at - nearest))
 
     for b in batches:
         for row in zip(*(c.to_pylist() for c in b.columns), strict=True):
@@ -182,15 +184,18 @@ def _sort(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.RecordB
         yield _range_batch(out)
 
 
-def _strings(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.RecordBatch]:
-    """(digest, single, k1, k2, start) of every string of `length` around the anchors of oversized groups."""
+def _strings(batches: Iterator[pa.RecordBatch], sizes: list[int]) -> Iterator[pa.RecordBatch]:
+    """(digest, single, k1, k2, start, size) of every string of these sizes around the anchors of oversized groups."""
     for b in batches:
-        for anchor, single, k1, k2, at, left, right in zip(*(c.to_pylist() for c in b.columns), strict=True):
+        for _, single, k1, k2, at, left, right in zip(*(c.to_pylist() for c in b.columns), strict=True):
             whole = left[::-1] + right
-            n = max(0, min(len(left) + 1, len(whole) - length + 1))
-            rows = [hashlib.blake2b(whole[i : i + length], digest_size=16).digest() for i in range(n)]
             first = at - len(left)
-            yield pa.RecordBatch.from_arrays([pa.array(rows, pa.binary()), pa.array([single] * n, pa.bool_()), pa.array([k1] * n, pa.int64()), pa.array([k2] * n, pa.int64()), pa.array(range(first, first + n), pa.int32())], ["digest", "single", "k1", "k2", "start"])
+            for size in sizes:
+                # Strings that hold the whole anchor.
+                starts = range(max(0, len(left) + ANCHOR - size), max(0, min(len(left) + 1, len(whole) - size + 1)))
+                rows = [hashlib.blake2b(whole[i : i + size], digest_size=16).digest() for i in starts]
+                n = len(rows)
+                yield pa.RecordBatch.from_arrays([pa.array(rows, pa.binary()), pa.array([single] * n, pa.bool_()), pa.array([k1] * n, pa.int64()), pa.array([k2] * n, pa.int64()), pa.array([first + i for i in starts], pa.int32()), pa.array([size] * n, pa.int32())], ["digest", "single", "k1", "k2", "start", "size"])
 
 
 def cut(data: bytes, ranges: list[dict] | None, length: int) -> tuple[bytes, int, int]:
@@ -199,10 +204,10 @@ def cut(data: bytes, ranges: list[dict] | None, length: int) -> tuple[bytes, int
         return data, 0, 0
     n = len(data)
     edge = np.zeros(n + 1, np.int32)
-    lo = np.array([r["lo"] for r in ranges])
+    lo = np.maximum(np.array([r["lo"] for r in ranges]), 0)
     hi = np.minimum(np.array([r["hi"] for r in ranges]), n - length)
     good = lo <= hi
-    np.add.at(edge, np.maximum(lo[good], 0), 1)
+    np.add.at(edge, lo[good], 1)
     np.add.at(edge, hi[good] + length, -1)
     gone = np.cumsum(edge[:-1]) > 0
     runs = int(np.count_nonzero(np.diff(gone.view(np.int8), prepend=np.int8(0)) == 1))
@@ -216,10 +221,11 @@ def _cut(batches: Iterator[pa.RecordBatch], length: int, form: str) -> Iterator[
         rows = []
         for data, ranges in zip(b.column(1).to_pylist(), b.column(2).to_pylist(), strict=True):
             kept, removed, runs = cut(data, ranges, length)
-            rows.append((len(data), removed, runs, give(kept)))
-        cols = list(zip(*rows, strict=True)) or [[]] * 4
-        kinds = [pa.int64(), pa.int64(), pa.int64(), pa.binary() if form == "bytes" else pa.string()]
-        yield pa.RecordBatch.from_arrays([b.column(0), *(pa.array(c, k) for c, k in zip(cols, kinds, strict=True))], ["id", "n_bytes", "n_removed", "n_spans", "kept"])
+            longest = max((min(len(data), r["hi"] + length) - max(0, r["lo"]) for r in ranges or []), default=0)
+            rows.append((len(data), removed, runs, give(kept), longest))
+        cols = list(zip(*rows, strict=True)) or [[]] * 5
+        kinds = [pa.int64(), pa.int64(), pa.int64(), pa.binary() if form == "bytes" else pa.string(), pa.int64()]
+        yield pa.RecordBatch.from_arrays([b.column(0), *(pa.array(c, k) for c, k in zip(cols, kinds, strict=True))], ["id", "n_bytes", "n_removed", "n_spans", "kept", "longest_repeat"])
 
 
 def cut_rows(docs: DataFrame, text_col: str = "text", chars_col: str = "n_chars", length: int = LENGTH) -> DataFrame:
@@ -236,10 +242,14 @@ def cut_rows(docs: DataFrame, text_col: str = "text", chars_col: str = "n_chars"
     return named.select(docs.columns)
 
 
-def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH, form: str = "bytes", group: int = GROUP) -> DataFrame:
-    """(id_col, n_bytes, n_removed, n_spans, kept): each text's UTF-8 bytes without every byte that a string of
+def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH, form: str = "bytes", group: int = GROUP, least: int | None = None) -> DataFrame:
+    """(id_col, n_bytes, n_removed, n_spans, kept, longest_repeat): each text's UTF-8 bytes without every byte that a string of
     `length` bytes covers which also starts elsewhere, in the same text or another; kept as `form` says, see _cut.
 
+    longest_repeat: bytes of the longest such string, as far as it lies within `length` bytes of an anchor, or 0. With `least` (below
+    `length`, at least 2 * ANCHOR) it also reports repeats of that many bytes and more, which are not removed; more anchors are
+    compared for it. Oversized groups, see below, tell apart these two lengths only.
+
     A null text is the empty text. Matches never cross texts and are judged on the input. Repeated rows are copies of
     each other; rows with null or equal ids are told apart by their text. Other columns are ignored; an empty
     table gives an empty table.
@@ -250,10 +260,13 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     """
     if length < 2 * ANCHOR:
         raise ValueError(f"length must be at least {2 * ANCHOR}")
+    least = length if least is None else least
+    if not 2 * ANCHOR <= least <= length:
+        raise ValueError(f"least must lie between {2 * ANCHOR} and length")
     kind = docs.schema[id_col].dataType.simpleString()
     text = F.coalesce(F.col(text_col), F.lit(""))
     rows = docs.select(F.col(id_col).alias("id"), F.encode(text, "UTF-8").alias("data"), F.xxhash64(F.col(id_col), text).alias("k1"), F.xxhash64(text, F.lit("strandlake"), F.col(id_col)).alias("k2"))
-    anchors = rows.select("k1", "k2", "data").mapInArrow(partial(_anchors, length=length), "anchor bigint, ctx bigint, k1 bigint, k2 bigint, pos int")
+    anchors = rows.select("k1", "k2", "data").mapInArrow(partial(_anchors, length=length, least=least), "anchor bigint, ctx bigint, k1 bigint, k2 bigint, pos int")
     anchors = settle(anchors, "anchors")
     # Most anchors occur once; from here on only the others count.
     often = anchors.groupBy("anchor").agg(F.count(F.lit(1)).alias("total")).where("total > 1").select("anchor")
@@ -271,13 +284,13 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
     # Contexts that occur once beside others of the same anchor.
     mixed = F.col("mixed") & (F.col("kinds") > 1)
-    partly = fetched(mixed & (F.col("kinds") <= group)).repartition("anchor").sortWithinPartitions("anchor").mapInArrow(partial(_sort, length=length), RANGES)
+    partly = fetched(mixed & (F.col("kinds") <= group)).repartition("anchor").sortWithinPartitions("anchor").mapInArrow(partial(_sort, length=length, least=least), RANGES)
     # Groups too large for one task's memory are told apart string by string, by digest, in as many tasks as there are.
-    strings = fetched(mixed & (F.col("kinds") > group)).mapInArrow(partial(_strings, length=length), "digest binary, single boolean, k1 bigint, k2 bigint, start int")
+    strings = fetched(mixed & (F.col("kinds") > group)).mapInArrow(partial(_strings, sizes=sorted({least, length})), "digest binary, single boolean, k1 bigint, k2 bigint, start int, size int")
     place = F.xxhash64("k1", "k2", "start")  # one string may lie around two of the anchors
     often = strings.groupBy("digest").agg(F.min(place).alias("a"), F.max(place).alias("b"), F.min("single").alias("alone")).where("a != b or not alone").select("digest")
-    large = strings.where("single").join(often, "digest").select("k1", "k2", F.col("start").alias("lo"), F.col("start").alias("hi"))
+    large = strings.where("single").join(often, "digest").select("k1", "k2", F.col("start").alias("lo"), (F.col("start") + F.col("size") - length).alias("hi"))
     ranges = whole.unionByName(partly).unionByName(large).groupBy("k1", "k2").agg(F.collect_list(F.struct("lo", "hi")).alias("ranges"))
     cutting = rows.join(ranges, ["k1", "k2"], "left").select("id", "data", "ranges")
-    out = cutting.mapInArrow(partial(_cut, length=length, form=form), f"id {kind}, n_bytes bigint, n_removed bigint, n_spans bigint, kept {'binary' if form == 'bytes' else 'string'}")
+    out = cutting.mapInArrow(partial(_cut, length=length, form=form), f"id {kind}, n_bytes bigint, n_removed bigint, n_spans bigint, kept {'binary' if form == 'bytes' else 'string'}, longest_repeat bigint")
     return out.withColumnRenamed("id", id_col)
