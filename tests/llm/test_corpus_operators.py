@@ -126,34 +126,6 @@ def test_repeats_are_cut(spark, length, group):
     assert [got[i] for i in range(len(got))] == brute_cut(texts + texts[-2:], length)
 
 
-@pytest.mark.parametrize(("length", "least", "group"), [(120, 70, 20_000), (120, 70, 3)])
-def test_shorter_repeats_are_reported(spark, length, least, group):
-    """What is removed does not depend on `least`; repeats of at least so many bytes are reported."""
-    rng = random.Random(least + group)
-    base = ["".join(rng.choices("abcdeé ", k=300)) for _ in range(4)]
-    texts = ["a" * 300, "q" * 69, "z" * 90, "z" * 90]
-    for _ in range(40):
-        t = ""
-        for _ in range(rng.randrange(1, 4)):
-            b, i = rng.choice(base), rng.randrange(300)
-            t += b[i : i + rng.randrange(20, 150)] + "".join(rng.choices("xyzuvw", k=rng.randrange(30)))
-        texts.append(t)
-    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
-    rows = {r.doc_id: r for r in sadedup.remove_repeats(df, length=length, group=group, least=least).collect()}
-    assert [(rows[i].n_bytes, rows[i].n_removed, rows[i].n_spans, bytes(rows[i].kept)) for i in range(len(rows))] == brute_cut(texts, length)
-    reported = 0
-    for size in range(least, length + 1, 10):
-        cuts = brute_cut(texts, size)
-        for i, (_, removed, _, _) in enumerate(cuts):
-            known = size in (least, length) or group > 3
-            if known and removed:
-                assert rows[i].longest_repeat >= size
-            elif not removed:
-                assert rows[i].longest_repeat < size
-                reported += size > least and rows[i].longest_repeat > 0
-    assert reported > 5
-
-
 def test_repeats_odd_rows(odd, none):
     out = sadedup.remove_repeats(odd)
     assert out.count() == odd.count() and sadedup.remove_repeats(none).count() == 0
