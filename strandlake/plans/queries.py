@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import os
-import tempfile
 import uuid
 from collections.abc import Callable
 
@@ -15,6 +14,7 @@ from strandlake.functions import kmers as K
 from strandlake.operators import counting as C
 from strandlake.operators import matrix as M
 from strandlake.operators import refbins as R
+from strandlake.session import shared_folder
 from strandlake.sources import counts as stored
 from strandlake.sources.sequences import read_fasta, read_fastq
 from strandlake.sources.tables import LETTERS, MAPPED, accession_names, document_reads
@@ -331,10 +331,9 @@ def threshold_sweep(spark, sf_dir):
 # ---- shared files
 
 
-def shared_folder(spark: SparkSession) -> str:
-    """A fresh folder under spark.checkpoint.dir; a local one only where that is unset."""
-    root = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="strandlake-")
-    return os.path.join(root, f"strandlake-{uuid.uuid4().hex}")
+def fresh_folder(spark: SparkSession) -> str:
+    """A new folder under the one that all executors share."""
+    return os.path.join(shared_folder(spark), f"strandlake-{uuid.uuid4().hex}")
 
 
 def local_path(uri: str) -> str:
@@ -344,7 +343,7 @@ def local_path(uri: str) -> str:
 
 def written(records: DataFrame, suffix: str) -> list[str]:
     spark = records.sparkSession
-    folder = shared_folder(spark)
+    folder = fresh_folder(spark)
     records.write.text(folder)
     path = spark._jvm.org.apache.hadoop.fs.Path(folder)
     fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
@@ -401,7 +400,7 @@ def ref_index_shifted(spark, sf_dir):
 def imported_dumps(spark, sf_dir):
     """Counts written as text dumps, one an accession, and imported again."""
     counts = counts_of(spark, sf_dir)
-    folder = shared_folder(spark)
+    folder = fresh_folder(spark)
     lines = counts.select("accession", F.concat_ws("\t", "kmer", F.col("cnt").cast("string")).alias("value"))
     lines.repartition("accession").write.partitionBy("accession").text(folder)
     path = spark._jvm.org.apache.hadoop.fs.Path(folder)
