@@ -6,12 +6,15 @@ import os
 import subprocess
 import sys
 import tarfile
+from types import SimpleNamespace
 
+import pyarrow as pa
 import pytest
 
 from strandlake.config import CountConfig, MatrixConfig, PipelineConfig
 from strandlake.operators.counting import count_kmers, with_bins
 from strandlake.plans.pipeline import count_stage, merge_stage, run
+from strandlake.session import BATCH_BYTES, BYTES_SETTING, shared_folder, ship
 from strandlake.sources import counts as stored
 from strandlake.sources.accessions import read_accession_list
 from strandlake.sources.sinks import committed, write_matrix
@@ -190,3 +193,17 @@ def test_core_queries_without_what_llm_needs():
     code = "import sys; sys.modules['public_tokenizers'] = None; import __spark_entry__ as e; q = e.queries(); assert 'kmer_counts' in q and 'op1_bpe' not in q and 'pipeline' not in q"
     root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
     assert subprocess.run([sys.executable, "-c", code], cwd=root).returncode == 0
+
+
+def test_a_cluster_needs_a_shared_folder():
+    unset = SimpleNamespace(conf=SimpleNamespace(get=lambda key, other: other), sparkContext=SimpleNamespace(master="spark://host:7077"))
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        shared_folder(unset)
+
+
+def test_batches_are_bounded_by_bytes(spark):
+    ship(spark)
+    assert spark.conf.get(BYTES_SETTING) == str(BATCH_BYTES)
+    long = spark.range(0, 30, 1, 1).selectExpr("repeat('x', 1000000) AS text")
+    sizes = long.mapInArrow(lambda batches: (pa.RecordBatch.from_arrays([pa.array([b.nbytes])], ["size"]) for b in batches), "size bigint").collect()
+    assert len(sizes) > 1 and max(r["size"] for r in sizes) < 2 * BATCH_BYTES
