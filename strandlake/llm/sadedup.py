@@ -114,7 +114,7 @@ def _fetch(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.Record
 
     rows = []
     for b in batches:
-        for k1, k2, data, wanted in zip(*(c.to_pylist() for c in b.columns[1:]), strict=True):
+        for k1, k2, data, wanted in zip(*(c.to_pylist() for c in b.columns), strict=True):
             for w in wanted:
                 at = w["pos"]
                 a, z = contexts(data, 0, len(data), at, length)
@@ -183,8 +183,11 @@ def _sort(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.RecordB
 
 
 def _strings(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.RecordBatch]:
-    """(digest, single, k1, k2, start) of every string of `length` around the anchors of oversized groups."""
-    for b in batches:
+    """(digest, single, k1, k2, start) of every string of `length` around the anchors of oversized groups.
+
+    Contexts are fetched here, not by a task before: a second Python worker a core would double the workers' memory.
+    """
+    for b in _fetch(batches, length):
         for anchor, single, k1, k2, at, left, right in zip(*(c.to_pylist() for c in b.columns), strict=True):
             whole = left[::-1] + right
             n = max(0, min(len(left) + 1, len(whole) - length + 1))
@@ -264,16 +267,17 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     # Contexts that occur twice: every string in them is repeated.
     whole = anchors.join(known.where("n > 1").select("anchor", "ctx"), ["anchor", "ctx"]).select("k1", "k2", (F.col("pos") - (length - ANCHOR)).alias("lo"), F.col("pos").alias("hi"))
 
-    def fetched(some: Column):
-        """Contexts of the anchors that `some` holds for, out of their documents."""
+    def holding(some: Column):
+        """Documents with those of their anchors that `some` holds for."""
         wanted = known.where(some).groupBy("k1", "k2").agg(F.collect_list(F.struct("anchor", (F.col("n") == 1).alias("single"), "pos")).alias("wanted"))
-        return rows.join(wanted, ["k1", "k2"]).select("id", "k1", "k2", "data", "wanted").mapInArrow(partial(_fetch, length=length), "anchor bigint, single boolean, k1 bigint, k2 bigint, pos int, left binary, right binary")
+        return rows.join(wanted, ["k1", "k2"]).select("k1", "k2", "data", "wanted")
 
     # Contexts that occur once beside others of the same anchor.
     mixed = F.col("mixed") & (F.col("kinds") > 1)
-    partly = fetched(mixed & (F.col("kinds") <= group)).repartition("anchor").sortWithinPartitions("anchor").mapInArrow(partial(_sort, length=length), RANGES)
+    fetched = holding(mixed & (F.col("kinds") <= group)).mapInArrow(partial(_fetch, length=length), "anchor bigint, single boolean, k1 bigint, k2 bigint, pos int, left binary, right binary")
+    partly = fetched.repartition("anchor").sortWithinPartitions("anchor").mapInArrow(partial(_sort, length=length), RANGES)
     # Groups too large for one task's memory are told apart string by string, by digest, in as many tasks as there are.
-    strings = fetched(mixed & (F.col("kinds") > group)).mapInArrow(partial(_strings, length=length), "digest binary, single boolean, k1 bigint, k2 bigint, start int")
+    strings = holding(mixed & (F.col("kinds") > group)).mapInArrow(partial(_strings, length=length), "digest binary, single boolean, k1 bigint, k2 bigint, start int")
     place = F.xxhash64("k1", "k2", "start")  # one string may lie around two of the anchors
     often = strings.groupBy("digest").agg(F.min(place).alias("a"), F.max(place).alias("b"), F.min("single").alias("alone")).where("a != b or not alone").select("digest")
     large = strings.where("single").join(often, "digest").select("k1", "k2", F.col("start").alias("lo"), F.col("start").alias("hi"))
