@@ -114,7 +114,7 @@ def _fetch(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.Record
 
     rows = []
     for b in batches:
-        for k1, k2, data, wanted in zip(*(c.to_pylist() for c in b.columns), strict=True):
+        for k1, k2, data, wanted in zip(*(c.to_pylist() for c in b.columns[1:]), strict=True):
             for w in wanted:
                 at = w["pos"]
                 a, z = contexts(data, 0, len(data), at, length)
@@ -270,7 +270,8 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     def holding(some: Column):
         """Documents with those of their anchors that `some` holds for."""
         wanted = known.where(some).groupBy("k1", "k2").agg(F.collect_list(F.struct("anchor", (F.col("n") == 1).alias("single"), "pos")).alias("wanted"))
-        return rows.join(wanted, ["k1", "k2"]).select("k1", "k2", "data", "wanted")
+        # With id, which no one needs here, this is the shuffle of the cut below, and texts are shuffled once.
+        return rows.join(wanted, ["k1", "k2"]).select("id", "k1", "k2", "data", "wanted")
 
     # Contexts that occur once beside others of the same anchor.
     mixed = F.col("mixed") & (F.col("kinds") > 1)
