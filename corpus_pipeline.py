@@ -38,13 +38,14 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Cuts 400-byte strings that occur elsewhere too out of the texts; partial characters at a cut go as well.
+    """Cuts passages that occur elsewhere too out of the texts: runs of repeated 200-byte strings that hold 50 words or
+    400 bytes; partial characters at a cut go as well.
 
-    All rows stay: a null text is null, an empty one empty, a repeated row of 400 bytes or more loses what its copies hold too.
+    All rows stay: a null text is null, an empty one empty, a repeated row of such a length loses what its copies hold too.
     n_chars is set anew, other columns come back as they are; an empty table gives an empty table.
     """
     ship(spark)
-    return sadedup.cut_rows(docs)
+    return sadedup.cut_rows(docs, length=sadedup.PASSAGE, words=sadedup.WORDS)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

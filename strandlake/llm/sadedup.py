@@ -31,6 +31,8 @@ from strandlake.llm.suffixes import deep_shallow, lcp, nodes
 
 #: Bytes of the repeated strings, and of an anchor.
 LENGTH, ANCHOR = 400, 32
+#: Words of a passage, and the bytes that so many words have at least (210 in the least of 350,000 samples of 51 words of prose).
+WORDS, PASSAGE = 50, 200
 #: Bytes a task scans at once (or one longer document).
 BLOCK_BYTES = 1_000_000
 #: Contexts of one anchor that are sorted in memory together; larger groups are split by content.
@@ -196,8 +198,9 @@ def _strings(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.Reco
             yield pa.RecordBatch.from_arrays([pa.array(rows, pa.binary()), pa.array([single] * n, pa.bool_()), pa.array([k1] * n, pa.int64()), pa.array([k2] * n, pa.int64()), pa.array(range(first, first + n), pa.int32())], ["digest", "single", "k1", "k2", "start"])
 
 
-def cut(data: bytes, ranges: list[dict] | None, length: int) -> tuple[bytes, int, int]:
-    """(remaining bytes, bytes removed, maximal runs removed) given ranges of repeated starts."""
+def cut(data: bytes, ranges: list[dict] | None, length: int, words: int = 0) -> tuple[bytes, int, int]:
+    """(remaining bytes, bytes removed, maximal runs removed) given ranges of repeated starts; with `words`, runs of
+    fewer words (between ASCII white space) and fewer than LENGTH bytes stay."""
     if not ranges:
         return data, 0, 0
     n = len(data)
@@ -208,40 +211,47 @@ def cut(data: bytes, ranges: list[dict] | None, length: int) -> tuple[bytes, int
     np.add.at(edge, np.maximum(lo[good], 0), 1)
     np.add.at(edge, hi[good] + length, -1)
     gone = np.cumsum(edge[:-1]) > 0
-    runs = int(np.count_nonzero(np.diff(gone.view(np.int8), prepend=np.int8(0)) == 1))
+    turns = np.diff(gone.view(np.int8), prepend=np.int8(0), append=np.int8(0))
+    runs = 0
+    for a, z in zip(np.flatnonzero(turns == 1).tolist(), np.flatnonzero(turns == -1).tolist(), strict=True):
+        if z - a < LENGTH and len(data[a:z].split()) < words:
+            gone[a:z] = False
+        else:
+            runs += 1
     return np.frombuffer(data, np.uint8)[~gone].tobytes(), int(gone.sum()), runs
 
 
-def _cut(batches: Iterator[pa.RecordBatch], length: int, form: str) -> Iterator[pa.RecordBatch]:
+def _cut(batches: Iterator[pa.RecordBatch], length: int, form: str, words: int) -> Iterator[pa.RecordBatch]:
     """form: kept as `bytes`, as their SHA-256 `digest`, or as `text` without characters of which only some bytes remain."""
     give = {"bytes": bytes, "digest": lambda kept: hashlib.sha256(kept).hexdigest(), "text": lambda kept: kept.decode("utf-8", "ignore")}[form]
     for b in batches:
         rows = []
         for data, ranges in zip(b.column(1).to_pylist(), b.column(2).to_pylist(), strict=True):
-            kept, removed, runs = cut(data, ranges, length)
+            kept, removed, runs = cut(data, ranges, length, words)
             rows.append((len(data), removed, runs, give(kept)))
         cols = list(zip(*rows, strict=True)) or [[]] * 4
         kinds = [pa.int64(), pa.int64(), pa.int64(), pa.binary() if form == "bytes" else pa.string()]
         yield pa.RecordBatch.from_arrays([b.column(0), *(pa.array(c, k) for c, k in zip(cols, kinds, strict=True))], ["id", "n_bytes", "n_removed", "n_spans", "kept"])
 
 
-def cut_rows(docs: DataFrame, text_col: str = "text", chars_col: str = "n_chars", length: int = LENGTH) -> DataFrame:
+def cut_rows(docs: DataFrame, text_col: str = "text", chars_col: str = "n_chars", length: int = LENGTH, words: int = 0) -> DataFrame:
     """docs with repeated strings cut out of its texts (see remove_repeats) and the length column set anew; all rows stay.
 
     A character of which only some bytes remain goes too. A null text stays null.
     """
     others = [c for c in docs.columns if c != text_col]
     row = F.struct(F.struct(*others).alias("rest"), F.col(text_col).isNull().alias("none"))
-    out = remove_repeats(docs.select(row.alias("row"), text_col), "row", text_col, length, form="text")
+    out = remove_repeats(docs.select(row.alias("row"), text_col), "row", text_col, length, form="text", words=words)
     named = out.select("row.rest.*", F.when(~F.col("row.none"), F.col("kept")).alias(text_col))
     if chars_col in docs.columns:
         named = named.withColumn(chars_col, F.length(text_col).cast(docs.schema[chars_col].dataType))
     return named.select(docs.columns)
 
 
-def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH, form: str = "bytes", group: int = GROUP) -> DataFrame:
+def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH, form: str = "bytes", group: int = GROUP, words: int = 0) -> DataFrame:
     """(id_col, n_bytes, n_removed, n_spans, kept): each text's UTF-8 bytes without every byte that a string of
-    `length` bytes covers which also starts elsewhere, in the same text or another; kept as `form` says, see _cut.
+    `length` bytes covers which also starts elsewhere, in the same text or another; kept as `form` says, see _cut. With `words`, only runs of such
+    bytes that hold so many words, or LENGTH bytes, are removed.
 
     A null text is the empty text. Matches never cross texts and are judged on the input. Repeated rows are copies of
     each other; rows with null or equal ids are told apart by their text. Other columns are ignored; an empty
@@ -284,5 +294,5 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     large = strings.where("single").join(often, "digest").select("k1", "k2", F.col("start").alias("lo"), F.col("start").alias("hi"))
     ranges = whole.unionByName(partly).unionByName(large).groupBy("k1", "k2").agg(F.collect_list(F.struct("lo", "hi")).alias("ranges"))
     cutting = rows.join(ranges, ["k1", "k2"], "left").select("id", "data", "ranges")
-    out = cutting.mapInArrow(partial(_cut, length=length, form=form), f"id {kind}, n_bytes bigint, n_removed bigint, n_spans bigint, kept {'binary' if form == 'bytes' else 'string'}")
+    out = cutting.mapInArrow(partial(_cut, length=length, form=form, words=words), f"id {kind}, n_bytes bigint, n_removed bigint, n_spans bigint, kept {'binary' if form == 'bytes' else 'string'}")
     return out.withColumnRenamed("id", id_col)

@@ -126,6 +126,37 @@ def test_repeats_are_cut(spark, length, group):
     assert [got[i] for i in range(len(got))] == brute_cut(texts + texts[-2:], length)
 
 
+def prose(rng, n):
+    return " ".join("".join(rng.choices("aeinorst", k=rng.randrange(2, 9))) for _ in range(n))
+
+
+def test_passages_of_over_50_words_are_cut(spark):
+    """In the pipeline's stage, also below 400 bytes; shorter repeats stay, as in the brute force with runs judged by words and bytes."""
+    corpus_pipeline = pytest.importorskip("corpus_pipeline")
+    rng = random.Random(11)
+    passages = [prose(rng, n) for n in (51, 52, 60, 40, 45, 120)] + ["".join(rng.choices("aeinorst", k=n)) for n in (390, 420)]
+    assert all(len(p) < 400 for p in passages[:5])
+    texts = [f"{prose(rng, rng.randrange(5, 90))} {p} {prose(rng, rng.randrange(5, 90))}" for p in passages for _ in range(2)] + [None, "", prose(rng, 300)]
+    df = spark.createDataFrame([(i, t, len(t or "")) for i, t in enumerate(texts)], "doc_id long, text string, n_chars long")
+    got = {r.doc_id: (r.text, r.n_chars) for r in corpus_pipeline.repeats(spark, df, "").collect()}
+    for i, t in enumerate(texts[:-3]):
+        p = passages[i // 2]
+        assert (p not in got[i][0]) == (i // 2 not in (3, 4, 6)) and (got[i][0] == t) == (i // 2 in (3, 4, 6))
+        assert got[i][1] == len(got[i][0])
+    assert [got[len(texts) - 3 + i][0] for i in range(3)] == texts[-3:]
+    out = {r.doc_id: (r.n_removed, bytes(r.kept)) for r in sadedup.remove_repeats(df, length=sadedup.PASSAGE, words=sadedup.WORDS).collect()}
+    times = Counter(t[i : i + 200] for t in texts if t for i in range(len(t) - 199))
+    for i, t in enumerate(texts):
+        gone = bytearray(len(t or ""))
+        for j in range(len(gone) - 199):
+            if times[t[j : j + 200]] > 1:
+                gone[j : j + 200] = b"\1" * 200
+        for run in list(re.finditer(b"\1+", bytes(gone))):
+            if len(run[0]) < 400 and len(t[run.start() : run.end()].split()) < 50:
+                gone[run.start() : run.end()] = bytes(len(run[0]))
+        assert out[i] == (sum(gone), bytes(b for b, g in zip((t or "").encode(), gone, strict=True) if not g))
+
+
 def test_repeats_odd_rows(odd, none):
     out = sadedup.remove_repeats(odd)
     assert out.count() == odd.count() and sadedup.remove_repeats(none).count() == 0
