@@ -157,6 +157,47 @@ def test_passages_of_over_50_words_are_cut(spark):
         assert out[i] == (sum(gone), bytes(b for b, g in zip((t or "").encode(), gone, strict=True) if not g))
 
 
+@pytest.mark.parametrize("group", [20_000, 3])
+def test_shorter_repeats_are_counted(spark, group):
+    """Beside what is removed, which stays as it is without them."""
+    rng = random.Random(group)
+    base = ["".join(rng.choices("abcdé     ", k=600)) for _ in range(4)]
+    texts = [None, "", "a" * 500, "ab " * 300, "a b " * 20, "x " * 32, "x " * 32]
+    for _ in range(60):
+        t = ""
+        for _ in range(rng.randrange(1, 5)):
+            b = rng.choice(base)
+            i = rng.randrange(len(b))
+            t += b[i : i + rng.randrange(20, 300)] + "".join(rng.choices("xyz ", k=rng.randrange(40)))
+        texts.append(t)
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r for r in sadedup.remove_repeats(df, length=100, group=group, least=64).collect()}
+    assert [(r.n_bytes, r.n_removed, r.n_spans, bytes(r.kept)) for r in (got[i] for i in range(len(got)))] == brute_cut(texts, 100)
+    data = [(t or "").encode() for t in texts]
+    times = Counter(d[i : i + 64] for d in data for i in range(len(d) - 63))
+    want = []
+    for d in data:
+        gone = bytearray(len(d))
+        for i in range(len(d) - 63):
+            if times[d[i : i + 64]] > 1:
+                gone[i : i + 64] = b"\1" * 64
+        want.append(sum(len(r[0]) for r in re.finditer(b"\1+", bytes(gone)) if len(r[0]) >= 400 or len(d[r.start() : r.end()].split()) >= 50))
+    assert [got[i].n_in_passages for i in range(len(got))] == want and len(set(want)) > 10
+
+
+def test_op10_counts_passages_that_it_may_not_remove(spark, tmp_path):
+    from strandlake.llm import registry
+
+    rng = random.Random(12)
+    passages = [prose(rng, n) for n in (51, 55, 40)] + [prose(rng, 120)]
+    assert [len(p) >= 400 for p in passages] == [False, False, False, True]
+    texts = [f"{prose(rng, rng.randrange(5, 90))} {p} {prose(rng, rng.randrange(5, 90))}" for p in passages for _ in range(2)] + [None, prose(rng, 300)]
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = {r.doc_id: (r.n_removed > 0, r.n_in_passages >= len(passages[i // 2]) if (i := r.doc_id) < 8 else r.n_in_passages > 0) for r in registry.QUERIES["op10_sadedup"](spark, str(tmp_path)).collect()}
+    none, counted, removed = (False, False), (False, True), (True, True)
+    assert [got[i] for i in range(10)] == [counted] * 4 + [none] * 2 + [removed] * 2 + [none] * 2
+
+
 def test_repeats_odd_rows(odd, none):
     out = sadedup.remove_repeats(odd)
     assert out.count() == odd.count() and sadedup.remove_repeats(none).count() == 0
