@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from strandlake.config import COUNT_MODULUS, CountConfig
 from strandlake.functions import kmers as K
+from strandlake.operators import pieces as P
 
 
 def canonical_windows(reads: DataFrame, k: int, keys: tuple[str, ...] = ("accession",)) -> DataFrame:
@@ -36,13 +37,37 @@ def count_windows(kmers: DataFrame, cfg: CountConfig, keys: tuple[str, ...] = ("
     return counts
 
 
+def count_rule(cfg: CountConfig):
+    """The poly-A, wrap and singleton rules of cfg on arrays: counts, and which k-mers stay."""
+    modulus, poly_a, singletons = COUNT_MODULUS if cfg.uint16_compat else None, cfg.keep_poly_a, not cfg.min_filter
+
+    def rule(words, total):
+        cnt = total % modulus if modulus else total
+        keep = (cnt != 1) | singletons
+        if not poly_a:
+            keep &= sum(w != 0 for w in words) > 0
+        return cnt, keep
+
+    return rule
+
+
 def count_kmers(reads: DataFrame, cfg: CountConfig = CountConfig()) -> DataFrame:
     """kmer_counts(accession, kmer, cnt) of reads(accession, seq).
 
-    One exchange with map-side combine on (accession, kmer); a k-mer that fills a third of the
-    windows is one row of each map task's output.
+    A small k has few k-mers: one exchange with map-side combine on (accession, kmer). Otherwise hardly any window is combined
+    before it is shuffled, so pieces of the reads are, see strandlake.operators.pieces.
     """
-    return count_windows(canonical_windows(reads, cfg.k), cfg)
+    if cfg.k < P.LEAST_K:
+        return count_windows(canonical_windows(reads, cfg.k), cfg)
+    return P.counts(reads, cfg.k, "accession", count_rule(cfg))
+
+
+def spectrum(reads: DataFrame, cfg: CountConfig = CountConfig()) -> DataFrame:
+    """(accession, cnt, kmers): how many k-mers of an accession have each count, by the rules of cfg."""
+    if cfg.k < P.LEAST_K:
+        return count_kmers(reads, cfg).groupBy("accession", "cnt").agg(F.count(F.lit(1)).alias("kmers"))
+    parts = P.spectrum(reads, cfg.k, "accession", count_rule(cfg))
+    return parts.groupBy("accession", "cnt").agg(F.sum("kmers").alias("kmers"))
 
 
 def with_bins(counts: DataFrame, num_bins: int) -> DataFrame:
