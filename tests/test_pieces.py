@@ -5,9 +5,11 @@ from collections import Counter
 
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from strandlake.config import CountConfig
 from strandlake.operators import pieces as P
+from strandlake.operators import refbins as R
 from strandlake.operators.counting import count_kmers
 
 
@@ -94,3 +96,64 @@ def test_counting_shuffles_less_than_its_windows(spark):
     rng = random.Random(3)
     reads = spark.createDataFrame([("a", "".join(rng.choices("ACGT", k=5000))) for _ in range(100)], "accession string, seq string")
     assert 0 < shuffled(count_kmers(reads).select("kmer")) < 4 * 100 * 4950
+
+
+def reference(rng):
+    """Chromosomes with other letters, one in two records, one without a name, and one that is too short."""
+    rows = [(f"c{i % 9}" if i != 4 else None, "x", s) for i, (_, s) in enumerate(some_reads(rng, 18, 400))]
+    return [*rows, ("c1", "y", "é😀" + rows[1][2] + "é" + "ACGGT" * 30), ("short", "x", "ACGT")]
+
+
+@pytest.mark.parametrize("part", [1 << 22, 100])
+def test_chromosomes_equal_the_index(spark, monkeypatch, part):
+    """Also where a chromosome's k-mers are dealt out, and its records differ in length."""
+    monkeypatch.setattr(R, "PART", part)
+    records = spark.createDataFrame(reference(random.Random(5)), "chromosome string, accession string, seq string").repartition(4)
+    index = R.ref_index(records, 21).groupBy("chromosome").agg(F.count(F.lit(1)).alias("positions"), F.countDistinct("kmer").alias("kmers"), F.sum("position").alias("position_sum"))
+    assert sorted(map(str, R.chromosomes(records, 21).collect())) == sorted(map(str, index.collect()))
+
+
+def test_chromosomes_shuffle_less_than_their_windows(spark):
+    """Different windows: each was shuffled with its chromosome before."""
+    rng = random.Random(3)
+    records = spark.createDataFrame([(f"c{i}", "a", "".join(rng.choices("ACGT", k=5000))) for i in range(100)], "chromosome string, accession string, seq string")
+    assert 0 < shuffled(R.chromosomes(records, 51)) < 4 * 100 * 4950
+
+
+def test_located_equal_the_index(spark):
+    """One k-mer twice, one that is not in canonical form, one of another length, and some that are nowhere."""
+    records = spark.createDataFrame(reference(random.Random(6)), "chromosome string, accession string, seq string").repartition(4)
+    index = R.ref_index(records, 21)
+    some = sorted({r.kmer for r in index.collect()})[::3]
+    kmers = spark.createDataFrame([(m,) for m in [*some, some[0], rc(some[1]), some[2][:20], "ACGTT" * 4 + "A", None]], "kmer string").repartition(3)
+    columns = ["kmer", "chromosome", "position", "accession"]
+    got = R.locate_in(kmers, records, 21).select(columns)
+    assert sorted(map(str, got.collect())) == sorted(map(str, R.locate(kmers, index).select(columns).collect()))
+
+
+@pytest.mark.parametrize("chunk", [1, 300])
+def test_groups_over_the_end_of_a_chunk(monkeypatch, chunk):
+    """Placed pieces come in chunks that end anywhere in a group."""
+    monkeypatch.setattr(P, "CHUNK", chunk)
+    records = [r for r in reference(random.Random(7)) if r[0]]
+    table = pa.table({"chromosome": [r[0] for r in records], "seq": [r[2] for r in records]})
+    rows = []
+    for row, bins, at, pieces in P.cut(*P.one_a_character(*P.text_of(table.column("seq"))), 21):
+        rows += [{"chromosome": records[r][0], "bin": int(b), "at": int(a), "piece": x} for r, b, a, x in zip(row, bins, at, pieces.to_pylist(), strict=True)]
+    index = [(min(w, rc(w)), c, i) for c, _, s in records for i in range(len(s) - 20) for w in [s[i : i + 21]] if set(w) <= set("ACGT")]
+    kind = pa.schema([("placed", pa.bool_()), ("chromosome", pa.string()), ("bin", pa.int64()), ("at", pa.int64()), ("piece", pa.binary())])
+    batches = lambda rows: (pa.RecordBatch.from_pylist(rows[i : i + 3], kind) for i in range(0, len(rows), 3))
+
+    parts = Counter()
+    for b in P.summarised(batches(sorted(rows, key=lambda r: (r["chromosome"], r["bin"]))), 21, "chromosome"):
+        for r in b.to_pylist():
+            parts.update({(r["chromosome"], c): r[c] for c in ("positions", "kmers", "position_sum")})
+    for c in {x[1] for x in index}:
+        own = [x for x in index if x[1] == c]
+        assert [parts[c, n] for n in ("positions", "kmers", "position_sum")] == [len(own), len({x[0] for x in own}), sum(x[2] for x in own)]
+
+    some = sorted({x[0] for x in index})[::2]
+    wanted = [{"bin": int(b), "at": 0, "piece": x, "placed": False} for _, bins, _, pieces in P.cut(*P.text_of(pa.array(some)), 21) for b, x in zip(bins, pieces.to_pylist(), strict=True)]
+    both = sorted([*wanted, *({**r, "placed": True} for r in rows)], key=lambda r: (r["bin"], r["placed"]))
+    got = Counter((r["kmer"], r["chromosome"], r["position"]) for b in P.matches(batches(both), 21, ["chromosome"]) for r in b.to_pylist())
+    assert got == Counter(x for x in index if x[0] in set(some))
