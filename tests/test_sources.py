@@ -19,6 +19,7 @@ from strandlake.sources import counts as stored
 from strandlake.sources.accessions import read_accession_list
 from strandlake.sources.sinks import committed, write_matrix
 from strandlake.sources.sequences import mates, read_accessions, read_fasta, read_fastq
+from strandlake.sources.tables import document_reads
 from strandlake.streaming.ingest import append_counts, stream_reads
 
 SEQS = ["ACGGTCATTGCAAGC", "GGGTTTACGNACG", "ACGGTCATTGCAAGC", "TTTTTTTT"]
@@ -207,3 +208,13 @@ def test_batches_are_bounded_by_bytes(spark):
     long = spark.range(0, 30, 1, 1).selectExpr("repeat('x', 1000000) AS text")
     sizes = long.mapInArrow(lambda batches: (pa.RecordBatch.from_arrays([pa.array([b.nbytes])], ["size"]) for b in batches), "size bigint").collect()
     assert len(sizes) > 1 and max(r["size"] for r in sizes) < 2 * BATCH_BYTES
+
+
+def test_document_reads_are_one_base_a_character(spark, tmp_path):
+    """Letters by their place in the alphabet, any other character, of however many bytes, one N; nulls and empty texts stay."""
+    texts = ["abcd efgh\nXYZ", "naïve 😀 ж!", "", None, "a" * 70_000, "zź\x00"]
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").selectExpr("*", "'s' AS source").repartition(2).write.parquet(str(tmp_path / "documents.parquet"))
+    got = {r.read_id: r.seq for r in document_reads(spark, str(tmp_path)).collect()}
+    place = {c: "ACGT"[i % 4] for i, c in enumerate("abcdefghijklmnopqrstuvwxyz")} | {" ": "A"}
+    assert got == {i: t if t is None else "".join(place.get(c.lower() if c.isascii() else c, "N") for c in t) for i, t in enumerate(texts)}
+    assert "translate" not in document_reads(spark, str(tmp_path))._jdf.queryExecution().optimizedPlan().toString()
