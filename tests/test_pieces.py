@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from strandlake.config import CountConfig
 from strandlake.operators import pieces as P
 from strandlake.operators import refbins as R
-from strandlake.operators.counting import count_kmers
+from strandlake.operators.counting import count_kmers, spectrum
 
 
 def rc(s):
@@ -158,3 +158,18 @@ def test_groups_over_the_end_of_a_chunk(monkeypatch, chunk):
     both = sorted([*wanted, *({**r, "placed": True} for r in rows)], key=lambda r: (r["bin"], r["placed"]))
     got = Counter((r["kmer"], r["chromosome"], r["position"]) for b in P.matches(batches(both), 21, ["chromosome"]) for r in b.to_pylist())
     assert got == Counter(x for x in index if x[0] in set(some))
+
+
+@pytest.mark.parametrize("k", [11, 21])
+def test_spectrum_equals_windows(spark, k):
+    reads = some_reads(random.Random(k), 200)
+    df = spark.createDataFrame(reads, "accession string, seq string").repartition(3)
+    every = CountConfig(k=k, uint16_compat=False, min_filter=False, keep_poly_a=True)
+    assert {(r.accession, r.cnt): r.kmers for r in spectrum(df, every).collect()} == Counter((a, n) for (a, _), n in windows(reads, k).items())
+
+
+def test_spectrum_keeps_kmers_in_their_task(spark):
+    """Only pieces and a few sums are shuffled."""
+    rng = random.Random(3)
+    reads = spark.createDataFrame([("a", "".join(rng.choices("ACGT", k=5000))) for _ in range(100)], "accession string, seq string")
+    assert 0 < shuffled(spectrum(reads, CountConfig(uint16_compat=False, min_filter=False, keep_poly_a=True))) < 4 * 100 * 4950
